@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -17,7 +18,10 @@ from helioframe.functions.gridvalue import grid_value, payload_struct  # noqa: E
 from helioframe.operators import adhoc, energy, events, incremental, latest, performance, quality, staging, status  # noqa: E402
 from helioframe.operators.availability import availability  # noqa: E402
 from helioframe.plans.overview import plants_overview  # noqa: E402
+from helioframe.session import shared_dir  # noqa: E402
+from helioframe.sources import sinks  # noqa: E402
 from helioframe.sources import testdata as td  # noqa: E402
+from helioframe.sources.tables import read_table  # noqa: E402
 from helioframe.sources.testdata import Telemetry  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -36,6 +40,7 @@ class Models:
     """The reference tables and models over one test folder, each a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
         self.data = Telemetry(spark, folder)
         self.clock = self.data.clock()
         self.devices = self.data.devices()
@@ -78,17 +83,23 @@ class Models:
         rest = events.state_changes(readings.filter(F.col("timestamp") > cut), events.last_known_states(first))
         return first, rest
 
+    def new_table(self) -> str:
+        return f"{shared_dir(self.spark)}/query-{uuid.uuid4().hex}"
+
     def events_upserted(self) -> DataFrame:
         """The second run starts a day early, so part of its events replace stored ones by id."""
-        readings = self.discrete_all()
-        first, _ = self.changes_in_two_runs()
+        readings = sinks.materialize(self.spark, self.discrete_all())
+        dims = (self.catalog, self.devices, self.plants)
+        cut = self.half().local()
         early = Clock(self.half().as_of - timedelta(days=1)).local()
-        known = events.last_known_states(first.filter(F.col("timestamp") <= early))
+        path = self.new_table()
+        first = events.enrich_events(events.state_changes(readings.filter(F.col("timestamp") <= cut)), *dims)
+        sinks.create_partitioned(sinks.with_day(first), path)
+        stored = read_table(self.spark, path)
+        known = events.last_known_states(stored.filter(F.col("timestamp") <= early))
         again = events.state_changes(readings.filter(F.col("timestamp") > early), known)
-        dims = (self.catalog, self.devices, self.plants)
-        return incremental.merge_by_key(
-            events.enrich_events(first, *dims), events.enrich_events(again, *dims), ["id"]
-        )
+        sinks.upsert(self.spark, sinks.with_day(events.enrich_events(again, *dims)), path, ["id"])
+        return read_table(self.spark, path).drop("date")
 
     def status_sources(self) -> dict[str, DataFrame]:
         return {kind: self.analog(kind) for kind in ("inverter", "logger", "meter", "relay", "weather_station")}
@@ -112,7 +123,9 @@ class Models:
     def meter_latest_merged(self) -> DataFrame:
         cut = self.half().local()
         analog = self.analog("meter")
-        stored = latest.latest_readings(analog.filter(F.col("timestamp") <= cut), "meter")
+        stored = sinks.materialize(
+            self.spark, latest.latest_readings(analog.filter(F.col("timestamp") <= cut), "meter")
+        )
         return latest.merge_latest(stored, analog.filter(F.col("timestamp") > cut))
 
     def operating_status(self) -> DataFrame:
@@ -126,51 +139,71 @@ class Models:
         return performance.daily_irradiation(self.analog("weather_station"), self.clock)
 
     def overview(self, corrected: bool = False) -> DataFrame:
+        """The staged tables feed several parts, so each is written once, as a warehouse run does."""
         read = self.analog_corrected if corrected else self.analog
+
+        def stored(df: DataFrame) -> DataFrame:
+            return sinks.materialize(self.spark, df)
+
+        inverter, weather = stored(self.analog("inverter")), stored(self.analog("weather_station"))
+        relay = stored(self.discrete("relay"))
+        kinds = {"inverter": self.discrete("inverter"), "relay": relay}
+        happened = events.detect_state_changes(
+            kinds, self.catalog, self.devices, self.plants, valid_from=td.VALID_FROM
+        )
+        limits = {"lookback": td.LOOKBACK, "stale_after": td.STALE_AFTER}
         return plants_overview(
             self.plants,
-            self.latest("weather_station"),
-            self.availability("inverter"),
-            self.availability("relay"),
-            self.events(),
-            self.inverter_long(),
-            read("inverter"),
-            read("weather_station"),
+            latest.latest_readings(weather, "weather_station"),
+            availability(self.devices, self.plants, inverter, "inverter", self.clock, **limits),
+            availability(self.devices, self.plants, relay, "relay", self.clock, **limits),
+            happened,
+            latest.latest_readings_long(inverter, self.clock, td.LOOKBACK),
+            read("inverter") if corrected else inverter,
+            read("weather_station") if corrected else weather,
             self.clock,
             lookback=td.LOOKBACK,
             window=td.WINDOW,
             report_daily_energy=not corrected,
         )
 
-    def two_batches(self, kind: str) -> tuple[DataFrame, DataFrame]:
-        """Staged rows of the first half of the arrivals, and the raw rows."""
-        raw = self.raw(kind)
-        return staging.stage_analog(raw.filter(F.col("timestamp") <= self.half().instant()), kind), raw
+    def first_batch(self, kind: str) -> tuple[str, DataFrame]:
+        """A table with the staged readings of the first half of the arrivals, and all raw rows."""
+        path, raw = self.new_table(), self.raw(kind)
+        first = staging.stage_analog(raw.filter(F.col("timestamp") <= self.half().instant()), kind)
+        sinks.create_partitioned(sinks.with_day(first), path)
+        return path, raw
 
     def appended(self) -> DataFrame:
-        first, raw = self.two_batches("relay")
-        rest = incremental.incremental_filter(raw, self.half().as_of)
-        return first.unionByName(staging.stage_analog(rest, "relay"))
+        path, raw = self.first_batch("relay")
+        rest = staging.stage_analog(incremental.incremental_filter(raw, self.half().as_of), "relay")
+        sinks.append(self.spark, sinks.with_day(rest), path)
+        return read_table(self.spark, path).drop("date")
 
     def appended_local_watermark(self) -> DataFrame:
-        first, raw = self.two_batches("inverter")
-        rest = incremental.incremental_filter_local(raw, incremental.watermark_of(first))
-        return first.unionByName(staging.stage_analog(rest, "inverter"))
+        path, raw = self.first_batch("inverter")
+        done = incremental.watermark_of(read_table(self.spark, path))
+        rest = staging.stage_analog(incremental.incremental_filter_local(raw, done), "inverter")
+        sinks.append(self.spark, sinks.with_day(rest), path)
+        return read_table(self.spark, path).drop("date")
 
     def upserted(self) -> DataFrame:
-        first, raw = self.two_batches("meter")
+        path, raw = self.first_batch("meter")
         rest = incremental.incremental_filter(raw, self.half().as_of, allowed_lateness="1 hour")
-        return incremental.merge_by_key(first, staging.stage_analog(rest, "meter"), ["device_id", "timestamp"])
+        batch = sinks.with_day(staging.stage_analog(rest, "meter"))
+        sinks.upsert(self.spark, batch, path, ["device_id", "timestamp"])
+        return read_table(self.spark, path).drop("date")
 
     def energy_replaced(self, by_plant: bool) -> DataFrame:
         """Stored series with the days of the recompute window deleted and put in again."""
         compute = energy.plant_daily_energy if by_plant else energy.daily_energy
-        analog = self.analog("inverter")
         keys = ["date", "power_plant_id"] if by_plant else ["date"]
-        batch = compute(energy.energy_window(analog, self.clock))
+        path, analog = self.new_table(), sinks.materialize(self.spark, self.analog("inverter"))
         yesterday = Clock(self.clock.as_of - timedelta(days=1)).local()
-        stored = compute(analog.filter(F.col("timestamp") <= yesterday))
-        return incremental.merge_by_key(stored, batch, keys)
+        sinks.create_partitioned(compute(analog.filter(F.col("timestamp") <= yesterday)), path)
+        batch = compute(energy.energy_window(analog, self.clock))
+        sinks.upsert(self.spark, batch, path, keys)
+        return read_table(self.spark, path)
 
     def grid_values(self) -> DataFrame:
         def extracted(kind: str) -> DataFrame:

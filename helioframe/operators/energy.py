@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.functions.clock import Clock, between, interval, time_bucket
+from helioframe.functions.clock import DAY, Clock, between, interval, time_bucket
 from helioframe.operators.dedup import newest_per
 from helioframe.operators.latest import since
 from helioframe.specs import ENERGY_RECOMPUTE, READING_LOOKBACK
@@ -24,10 +27,15 @@ def device_day_energy(analog: DataFrame) -> DataFrame:
     )
 
 
-def energy_window(analog: DataFrame, clock: Clock, days: str = ENERGY_RECOMPUTE) -> DataFrame:
-    """Readings of the days that a run recomputes; always whole days."""
+def energy_window(
+    analog: DataFrame, clock: Clock, days: str = ENERGY_RECOMPUTE, also: Sequence[date] = ()
+) -> DataFrame:
+    """Readings of the days that a run recomputes, always whole: the newest ones and those named."""
     start = F.date_trunc("day", F.to_date(clock.utc()).cast("timestamp_ntz") - interval(days)).cast("timestamp_ntz")
-    return between(analog, start, closed_lower=True)
+    if not also:
+        return between(analog, start, closed_lower=True)
+    day = F.col(DAY) if DAY in analog.columns else F.to_date("timestamp")
+    return analog.filter((day >= F.to_date(start)) | day.isin(*also))
 
 
 def plant_energy_from_devices(device_days: DataFrame) -> DataFrame:

@@ -41,9 +41,12 @@ def _with_day(df: DataFrame, columns: list[str]) -> list[str]:
 def merge_latest(previous: DataFrame, batch: DataFrame) -> DataFrame:
     """Newest reading per device over a stored result and a new batch.
 
-    Gives what a pass over the whole history would, at the cost of the devices plus the batch.
+    Gives what a pass over the whole history would, at the cost of the devices plus the batch. When
+    both hold the same time, the batch has the newer arrival.
     """
-    return newest_reading(previous.unionByName(batch.select(*previous.columns)))
+    columns = previous.columns
+    both = previous.withColumn("__fresh", F.lit(0)).unionByName(batch.select(*columns).withColumn("__fresh", F.lit(1)))
+    return newest_per(both, ["device_id"], [F.desc("timestamp"), F.desc("__fresh")]).select(*columns)
 
 
 def _labelled(display: tuple[tuple[str, str, str], ...]) -> Column:
