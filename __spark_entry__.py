@@ -7,6 +7,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,10 +43,22 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.data = Telemetry(spark, folder)
-        self.clock = self.data.clock()
-        self.devices = self.data.devices()
-        self.plants = self.data.plants()
-        self.catalog = self.data.catalog()
+
+    @cached_property
+    def clock(self) -> Clock:
+        return self.data.clock()
+
+    @cached_property
+    def devices(self) -> DataFrame:
+        return self.data.devices()
+
+    @cached_property
+    def plants(self) -> DataFrame:
+        return self.data.plants()
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return self.data.catalog()
 
     def raw(self, kind: str) -> DataFrame:
         return self.data.raw(kind)
@@ -212,12 +225,12 @@ class Models:
             return parsed.select(
                 "timestamp",
                 "device_id",
-                grid_value(F.col("p.active_power")).alias("as_float"),
-                grid_value(F.col("p.cumulative_active_energy"), "DECIMAL2").alias("as_decimal"),
-                grid_value(F.col("p.state_simplified"), "INTEGER").alias("as_integer"),
-                grid_value(F.col("p.state_operation"), "BIGINT").alias("as_bigint"),
-                grid_value(F.col("p.frequency")).alias("frequency"),
-                grid_value(F.col("p.active_power"), "TEXT").alias("as_text"),
+                grid_value("p.active_power").alias("as_float"),
+                grid_value("p.cumulative_active_energy", "DECIMAL2").alias("as_decimal"),
+                grid_value("p.state_simplified", "INTEGER").alias("as_integer"),
+                grid_value("p.state_operation", "BIGINT").alias("as_bigint"),
+                grid_value("p.frequency").alias("frequency"),
+                grid_value("p.active_power", "TEXT").alias("as_text"),
             )
 
         first, *others = (extracted(kind) for kind in td.KINDS)
@@ -231,6 +244,11 @@ class Models:
             first = first.unionByName(other)
         return events.rejected_codes(first)
 
+    def source_checks(self) -> DataFrame:
+        tables = {f"raw_{kind}": self.raw(kind) for kind in td.KINDS}
+        tables |= {"tb_power_plants": self.plants, "tb_devices": self.devices, "tb_event_alarm_catalog": self.catalog}
+        return quality.declared_checks(tables)
+
     def raw_copies(self) -> DataFrame:
         typed = staging.typed_readings(self.raw("inverter"), "inverter")
         return quality.duplicate_audit(typed, ["device_id", "timestamp"])
@@ -288,6 +306,7 @@ _QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "relationships_report": lambda m: quality.relationships_report(
         m.analog("inverter"), "device_id", m.devices.filter("is_active"), "id"
     ),
+    "source_checks": Models.source_checks,
     "freshness_report": lambda m: quality.freshness_report({f"raw_{kind}": m.raw(kind) for kind in td.KINDS}, m.clock),
     "duplicate_audit": Models.raw_copies,
     "device_last_24h": lambda m: adhoc.device_history(m.analog("inverter"), 1, m.clock, td.HORIZON),

@@ -38,52 +38,37 @@ def payload_map(json_data: Column) -> Column:
     return F.from_json(json_data, PAYLOAD_MAP)
 
 
-def grid_text(value: Column) -> Column:
-    """The text before the first ``@``; NULL when that is empty or a dash."""
-    head = F.substring_index(value, "@", 1)
-    return F.when(~head.isin("", "-"), head)
+def grid_value_sql(value: str, cast_as: str = FLOAT) -> str:
+    """SQL that converts the text of one payload field; unreadable text gives NULL.
 
-
-def _number_text(value: Column) -> Column:
-    # Spark reads a trailing d or f as a Java number suffix; spoil those letters so "1d" is no number.
-    # Empty text and a dash need no test here: a failed try_cast is NULL already.
-    return F.translate(F.substring_index(value, "@", 1), "dDfF", "xxxx")
-
-
-def grid_float(value: Column) -> Column:
-    return _number_text(value).try_cast("double")
-
-
-def grid_decimal(value: Column) -> Column:
-    """Rounded to two places, halves away from zero."""
-    return F.round(F.substring_index(value, "@", 1).try_cast(_EXACT), 2).try_cast(_NUMERIC2)
-
-
-def grid_integer(value: Column, target: str = "INTEGER") -> Column:
-    """A whole number that may be written ``512.0``; fractions round, halves away from zero."""
-    exact = F.substring_index(value, "@", 1).try_cast(_EXACT)
-    return F.round(exact, 0).try_cast(WHOLE_NUMBER_TYPES[target])
-
-
-def grid_value(value: Column, cast_as: str = FLOAT) -> Column:
-    """Convert the text of one payload field; unreadable text gives NULL."""
+    ``value`` is itself SQL, such as a column name. Working in SQL text keeps a wide projection at one
+    call from Python instead of several per field.
+    """
     kind = cast_as.upper()
+    head = f"substring_index({value}, '@', 1)"
+    if kind in ("TEXT", "VARCHAR"):
+        return f"nullif(nullif({head}, ''), '-')"
+    # Empty text and a dash need no test below: try_cast gives NULL for them already.
     if kind in WHOLE_NUMBER_TYPES:
-        return grid_integer(value, kind)
+        # "512.0" is fine and fractions round, halves away from zero.
+        return f"try_cast(round(try_cast({head} AS {_EXACT}), 0) AS {WHOLE_NUMBER_TYPES[kind]})"
     if kind == DECIMAL2:
-        return grid_decimal(value)
-    if kind in (FLOAT, "DOUBLE PRECISION", "FLOAT8"):
-        return grid_float(value)
+        return f"try_cast(round(try_cast({head} AS {_EXACT}), 2) AS {_NUMERIC2})"
     if kind in ("NUMERIC", "DECIMAL"):
-        return F.substring_index(value, "@", 1).try_cast(_EXACT)
-    if kind in ("TEXT", "VARCHAR"):
-        return grid_text(value)
+        return f"try_cast({head} AS {_EXACT})"
+    if kind in (FLOAT, "DOUBLE PRECISION", "FLOAT8"):
+        # Spark reads a trailing d or f as a Java number suffix; spoil those letters, "1d" is no number.
+        return f"try_cast(translate({head}, 'dDfF', 'xxxx') AS DOUBLE)"
     raise ValueError(f"no conversion to {cast_as}")
 
 
-def extract_grid_value(json_data: Column, field: str, cast_as: str = FLOAT) -> Column:
+def grid_value(value: str, cast_as: str = FLOAT) -> Column:
+    return F.expr(grid_value_sql(value, cast_as))
+
+
+def extract_grid_value(json_data: str, field: str, cast_as: str = FLOAT) -> Column:
     """One field straight from the payload text; for several fields parse once with payload_struct."""
-    return grid_value(payload_struct(json_data, [field])[field], cast_as)
+    return grid_value(f"from_json({json_data}, 'struct<`{field}`:string>').`{field}`", cast_as)
 
 
 __all__ = [
@@ -91,11 +76,8 @@ __all__ = [
     "FLOAT",
     "INTEGER",
     "extract_grid_value",
-    "grid_decimal",
-    "grid_float",
-    "grid_integer",
-    "grid_text",
     "grid_value",
+    "grid_value_sql",
     "payload_map",
     "payload_struct",
 ]

@@ -6,14 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def concat_text(*parts: Column) -> Column:
-    """Concatenation that reads NULL as empty text."""
-    return F.concat(*(F.coalesce(part.cast("string"), F.lit("")) for part in parts))
-
-
-def trimmed(text: Column) -> Column:
-    """Blanks off both ends; NULL when nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+def round2_sql(value: str) -> str:
+    """Two decimal places, halves away from zero, as SQL over SQL."""
+    return f"cast(round(cast({value} AS decimal(38,18)), 2) AS decimal(18,2))"
 
 
 def round2(value: Column) -> Column:
@@ -21,10 +16,6 @@ def round2(value: Column) -> Column:
     return F.round(value.cast("decimal(38,18)"), 2).cast("decimal(18,2)")
 
 
-def with_unit(value: Column, unit: str) -> Column:
-    return concat_text(value, F.lit(" "), F.lit(unit))
-
-
 def signed_hash64(text: Column) -> Column:
     """The first 64 bits of the MD5 of a text, as a signed number."""
     return F.conv(F.left(F.md5(text), F.lit(16)), 16, -10).cast("bigint")

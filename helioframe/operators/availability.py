@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import Clock, interval
-from helioframe.functions.gridvalue import grid_integer, payload_struct
+from helioframe.functions.gridvalue import extract_grid_value
 from helioframe.operators.latest import newest_reading
 from helioframe.specs import DEVICE_TYPES, READING_LOOKBACK, STALE_AFTER
 
@@ -23,7 +23,7 @@ class ActiveRule:
 
 
 def _discrete(name: str) -> Column:
-    return grid_integer(payload_struct(F.col("discrete_data_json"), [name])[name])
+    return extract_grid_value("discrete_data_json", name, "INTEGER")
 
 
 # An inverter produces in state 2; a relay is fine with its breaker closed (1) and no

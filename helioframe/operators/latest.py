@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import Clock, between, interval
-from helioframe.functions.text import round2, with_unit
+from helioframe.functions.text import round2_sql
 from helioframe.operators.dedup import newest_per
 from helioframe.specs import INVERTER_DISPLAY, READING_LOOKBACK, analog_columns
 
@@ -49,18 +49,18 @@ def merge_latest(previous: DataFrame, batch: DataFrame) -> DataFrame:
     return newest_per(both, ["device_id"], [F.desc("timestamp"), F.desc("__fresh")]).select(*columns)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
+
+
 def _labelled(display: tuple[tuple[str, str, str], ...]) -> Column:
-    return F.array(
-        *(
-            F.struct(
-                F.lit(label).alias("field_name"),
-                round2(F.col(column)).alias("value_numeric"),
-                F.lit(unit).alias("unit"),
-                F.lit(place).alias("display_order"),
-            )
-            for place, (label, column, unit) in enumerate(display, start=1)
-        )
+    """All shown fields of a reading as an array, so that one explode makes them rows."""
+    fields = (
+        f"struct({_quoted(label)} AS field_name, {round2_sql(column)} AS value_numeric, "
+        f"{_quoted(unit)} AS unit, {place} AS display_order)"
+        for place, (label, column, unit) in enumerate(display, start=1)
     )
+    return F.expr("array(" + ", ".join(fields) + ")")
 
 
 def latest_readings_long(
@@ -83,5 +83,3 @@ def latest_readings_long(
         F.col("f.display_order").alias("display_order"),
     )
 
-
-__all__ = ["latest_readings", "latest_readings_long", "merge_latest", "newest_reading", "since", "with_unit"]

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import Clock, interval
-from helioframe.specs import FRESHNESS_ERROR, FRESHNESS_WARN
+from helioframe.specs import DECLARED_CHECKS, FRESHNESS_ERROR, FRESHNESS_WARN, TABLE_KEYS
 
 
 def _failures(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -42,10 +43,24 @@ def unique_report(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
         reports.append(
             repeated.agg(F.count("*").alias("failures")).select(F.lit(", ".join(key)).alias("column_name"), "failures")
         )
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+    return reduce(DataFrame.unionByName, reports)
+
+
+def declared_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared checks of each table given: one scan for its NULLs, one aggregation per unique key."""
+    reports = []
+    for table, df in tables.items():
+        required, unique = DECLARED_CHECKS.get(table, ((), ()))
+        found = []
+        if required:
+            found.append(not_null_report(df, required).withColumn("check_name", F.lit("not_null")))
+        keys = [(column,) for column in unique]
+        if table in TABLE_KEYS and TABLE_KEYS[table] not in keys:
+            keys.append(TABLE_KEYS[table])
+        if keys:
+            found.append(unique_report(df, keys).withColumn("check_name", F.lit("unique")))
+        reports += [report.withColumn("table_name", F.lit(table)) for report in found]
+    return reduce(DataFrame.unionByName, reports).select("table_name", "check_name", "column_name", "failures")
 
 
 def relationships_report(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -74,10 +89,7 @@ def freshness_report(
     def newest(name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.max(column).alias("newest")).select(F.lit(name).alias("source_name"), "newest")
 
-    reports = [newest(name, df) for name, df in sources.items()]
-    rows = reports[0]
-    for report in reports[1:]:
-        rows = rows.unionByName(report)
+    rows = reduce(DataFrame.unionByName, (newest(name, df) for name, df in sources.items()))
     now = clock.instant()
     return rows.select(
         "source_name",

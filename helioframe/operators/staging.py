@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import between, naive_timestamp, payload_local
-from helioframe.functions.gridvalue import grid_integer, grid_value, payload_map, payload_struct
-from helioframe.functions.text import trimmed
+from helioframe.functions.gridvalue import grid_value, grid_value_sql, payload_map, payload_struct
 from helioframe.operators.dedup import newest_per
 from helioframe.specs import (
     ANALOG_FIELDS,
     DECIMAL2,
     DISCRETE_RULES,
     IDS,
+    INTEGER,
     STRINGS_PER_INVERTER,
     TEXT_FIELDS,
     DiscreteRule,
@@ -51,14 +51,13 @@ def typed_readings(raw: DataFrame, kind: str) -> DataFrame:
     parsed = raw.select(
         *_arrival_columns(), "power_plant_id", "device_id", payload_struct(F.col("json_data"), fields).alias("p")
     )
-    return parsed.select(
+    timed = parsed.withColumn("timestamp", payload_local(F.col("p.timestamp")))
+    return timed.selectExpr(
         _ARRIVED,
         _TIE,
-        payload_local(F.col("p.timestamp")).alias("timestamp"),
-        "power_plant_id",
-        "device_id",
-        *(trimmed(F.col("p")[name]).alias(name) for name in texts),
-        *(grid_value(F.col("p")[name], target).alias(name) for name, target in numbers),
+        *IDS,
+        *(f"nullif(trim(p.{name}), '') AS {name}" for name in texts),
+        *(f"{grid_value_sql(f'p.{name}', target)} AS {name}" for name, target in numbers),
     )
 
 
@@ -124,12 +123,12 @@ def latest_string_currents(
         "device_id",
         payload_struct(F.col("json_data"), ["timestamp", "state_simplified", *names]).alias("p"),
     )
-    currents = F.array(*(grid_value(F.col("p")[name], DECIMAL2) for name in names))
+    currents = F.expr("array(" + ", ".join(grid_value_sql(f"p.{name}", DECIMAL2) for name in names) + ")")
     strung = parsed.select(
         payload_local(F.col("p.timestamp")).alias("timestamp"),
         "power_plant_id",
         "device_id",
-        grid_integer(F.col("p.state_simplified")).alias("state_simplified"),
+        grid_value("p.state_simplified", INTEGER).alias("state_simplified"),
         F.posexplode(currents).alias("position", "string_current"),
     ).filter(F.col("string_current").isNotNull())
     labels = devices.select(F.col("id").alias("device_id"), "device_name")

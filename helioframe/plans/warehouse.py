@@ -20,6 +20,7 @@ from helioframe.operators.energy import daily_energy, energy_window, plant_daily
 from helioframe.operators.events import discrete_union, enrich_events, state_changes
 from helioframe.operators.incremental import incremental_filter, sync_columns, watermark_of, within_horizon
 from helioframe.operators.latest import latest_readings, latest_readings_long, merge_latest
+from helioframe.operators.quality import declared_checks
 from helioframe.operators.staging import latest_string_currents, stage_analog, stage_discrete
 from helioframe.operators.status import plant_status
 from helioframe.plans.overview import plants_overview
@@ -30,10 +31,12 @@ from helioframe.sources.tables import read_table, table_exists
 from helioframe.specs import (
     ANALOG_FIELDS,
     COMMUNICATION_WINDOW,
+    DECLARED_CHECKS,
     DISCRETE_RULES,
     READING_LOOKBACK,
     RETENTION,
     STALE_AFTER,
+    TABLE_KEYS,
     VALID_FROM,
     WEATHER_HORIZON,
 )
@@ -80,6 +83,7 @@ class Warehouse:
     def __post_init__(self) -> None:
         ensure_utc(self.spark)
         self.positions = Positions(self.spark, self.path("_positions"))
+        self._reached: dict[str, datetime] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -122,7 +126,11 @@ class Warehouse:
         sinks.refresh(self.spark, newest, self.path(name))
 
     def load(self, kind: str, clock: Clock, full: bool = False) -> list[date]:
-        """Stage the raw rows that arrived since the last load, up to the clock."""
+        """Stage the raw rows that arrived since the last load, up to the clock.
+
+        The new position is only recorded by ``commit``, after the derived tables have been brought up
+        too: a run that dies half-way is simply repeated, and repeating it changes nothing.
+        """
         name = f"raw_{kind}"
         arrived = self.inputs.raw[kind].filter(F.col("timestamp") <= clock.instant())
         done = None if full else self.positions.read(name)
@@ -131,9 +139,14 @@ class Warehouse:
         if newest is None:
             return []
         days = self.absorb(kind, batch, clock, full)
-        self.positions.write(name, newest)
+        self._reached[name] = newest
         return days
 
+    def commit(self) -> None:
+        for name, position in self._reached.items():
+            self.positions.write(name, position)
+        self._reached.clear()
+
     # Events
 
     def refresh_events(self, full: bool = False) -> None:
@@ -279,6 +292,22 @@ class Warehouse:
         """Bring every stored table up to the clock."""
         loaded = {kind: self.load(kind, clock, full) for kind in ANALOG_FIELDS}
         self.refresh_derived(clock, full, loaded["inverter"])
+        self.commit()
+
+    def checks(self, clock: Clock) -> DataFrame:
+        """The declared checks over every stored table, the views and the inputs."""
+        tables = {f"raw_{kind}": raw for kind, raw in self.inputs.raw.items()}
+        tables |= {
+            "tb_power_plants": self.inputs.plants,
+            "tb_devices": self.inputs.devices,
+            "tb_event_alarm_catalog": self.inputs.catalog,
+            "int_inverter_latest_readings": self.inverter_latest(clock),
+            "int_power_plant_status": self.status(clock),
+            "stg_inverter_string_data": self.string_currents(),
+        }
+        stored = (set(DECLARED_CHECKS) | set(TABLE_KEYS)) - set(tables)
+        tables |= {name: self.table(name) for name in sorted(stored) if self.has(name)}
+        return declared_checks(tables)
 
     def maintain(self, clock: Clock, compact_days: int = 1) -> None:
         """Daily upkeep: cluster the days that have settled and drop those past retention."""

@@ -25,6 +25,8 @@ def build_session(app: str = "helioframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Looking up the caller's line for every column expression slows the building of wide plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)

@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from helioframe.functions.clock import Clock
 from helioframe.session import ensure_utc
@@ -100,13 +101,18 @@ class Telemetry:
     """The derived tables of one test-data folder."""
 
     _limits: dict[str, tuple[datetime, int]] = {}
+    _schemas: dict[str, StructType] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = ensure_utc(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One test table; its schema is taken from the file once, since every look costs a job."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def _limit(self) -> tuple[datetime, int]:
         if self.folder not in self._limits:
@@ -139,11 +145,13 @@ class Telemetry:
             "date_format(ts, 'yyyyMMddHHmmss') AS tag",
             "date_format(date_trunc('hour', ts), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS payload_time",
         )
+        # A raw table holds its payload as text. The one-element explode keeps it so here: without it
+        # Spark would move tests on payload fields below and build the text once more for each.
         return texts.select(
             F.col("ts").cast("timestamp").alias("timestamp"),
             "power_plant_id",
             "device_id",
-            F.expr(payload_sql(kind, "DIV", "STRING")).alias("json_data"),
+            F.explode(F.array(F.expr(payload_sql(kind, "DIV", "STRING")))).alias("json_data"),
         )
 
     def plants(self) -> DataFrame:
@@ -170,12 +178,11 @@ class Telemetry:
         )
 
     def catalog(self) -> DataFrame:
-        rows = [
-            (i, kind, code, value, f"{code} is {value}", label, severity, active)
+        rows = ", ".join(
+            f"({i}L, {kind}, '{code}', {value}, '{code} is {value}', '{label}', '{severity}', {str(active).lower()})"
             for i, (kind, code, value, label, severity, active) in enumerate(CATALOG, start=1)
-        ]
-        return self.spark.createDataFrame(
-            rows,
-            "id bigint, device_type_id int, code string, value int, description string, type string, "
-            "severity string, is_active boolean",
+        )
+        return self.spark.sql(
+            f"SELECT * FROM VALUES {rows} "
+            "AS c(id, device_type_id, code, value, description, type, severity, is_active)"
         )

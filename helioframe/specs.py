@@ -188,3 +188,66 @@ EXCLUDED_IRRADIANCE_DEVICES = (5,)
 
 # Texts that carry an on/off state.
 BINARY_TEXTS = {"0": 0, "1": 1, "true": 1, "false": 0}
+
+_RAW_NOT_NULL = ("timestamp", "power_plant_id", "device_id", "json_data")
+_CODES_NOT_NULL = (*IDS, "discrete_data_json")
+
+# Declared checks per table: columns that are never NULL, and columns whose values never repeat.
+DECLARED_CHECKS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    **{f"raw_{kind}": (_RAW_NOT_NULL, ()) for kind in ANALOG_FIELDS},
+    "tb_power_plants": (("id", "customer_id", "name"), ("id",)),
+    "tb_devices": (("id", "device_type_id", "power_plant_id"), ("id",)),
+    "tb_event_alarm_catalog": (
+        ("id", "device_type_id", "code", "value", "description", "type", "severity", "is_active"),
+        (),
+    ),
+    **{f"stg_{kind}_analogic_data": (IDS, ()) for kind in ANALOG_FIELDS},
+    "stg_inverter_analogic_data": (
+        (*IDS, "active_power", "power_reactive", "state_operation", "state_simplified"),
+        (),
+    ),
+    **{f"stg_{kind}_discrete_data": (_CODES_NOT_NULL, ()) for kind in DISCRETE_RULES},
+    "stg_inverter_string_data": ((*IDS, "string_number"), ()),
+    "int_events_alarms": (
+        (
+            "timestamp",
+            "power_plant_id",
+            "device_id",
+            "device_type_id",
+            "code",
+            "value",
+            "description",
+            "type",
+            "severity",
+            "acknowledged",
+            "id",
+        ),
+        ("id",),
+    ),
+    "int_power_plant_status": (
+        ("power_plant_id", "power_plant_status", "has_critical_alarm", "calculated_at"),
+        (),
+    ),
+    "int_inverter_availability": (("power_plant_id",), ("power_plant_id",)),
+    "int_relay_availability": (("power_plant_id",), ("power_plant_id",)),
+    "int_inverter_latest_readings": (("device_id", "power_plant_id", "field_name", "timestamp"), ()),
+    **{
+        f"int_{kind}_latest_readings": (("device_id", "power_plant_id", "timestamp"), ())
+        for kind in ("logger", "meter", "relay", "weather_station")
+    },
+    "int_inverter_daily_energy_timeseries": (
+        ("date", "total_energy_kwh", "total_active_inverters", "total_power_plants"),
+        ("date",),
+    ),
+    "mart_power_plants_overview": (("power_plant_id", "power_plant_name", "updated_at"), ("power_plant_id",)),
+}
+
+# Keys that span columns, from the tables' unique indexes.
+TABLE_KEYS = {
+    "int_inverter_daily_energy_timeseries": ("date",),
+    "int_inverter_power_plant_daily_energy_timeseries": ("date", "power_plant_id"),
+}
+
+# Documented ranges and values of inverter readings.
+INVERTER_RANGES = {"frequency": (59.0, 61.0), "efficiency": (0, 100), "temperature_internal": (-10, 100)}
+INVERTER_VALUES = {"state_operation": (0, 1, 2, 3, 4, 5)}

@@ -396,6 +396,23 @@ def _bodies() -> dict[str, str]:
         ),
         "relationships_report": """SELECT 'device_id' AS column_name, count(*) AS failures, count(DISTINCT device_id) AS missing_parents
             FROM stg_inverter WHERE device_id NOT IN (SELECT id FROM tb_devices WHERE is_active)""",
+        "source_checks": " UNION ALL ".join(
+            [
+                f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {name}"
+                for table, name, columns in (
+                    *((f"raw_{kind}", f"raw_{kind}", ("timestamp", "power_plant_id", "device_id", "json_data")) for kind in td.KINDS),
+                    ("tb_power_plants", "tb_power_plants", ("id", "customer_id", "name")),
+                    ("tb_devices", "tb_devices", ("id", "device_type_id", "power_plant_id")),
+                    ("tb_event_alarm_catalog", "catalog", ("device_type_id", "code", "value", "description", "type", "severity", "is_active")),
+                )
+                for c in columns
+            ]
+            + ["SELECT 'tb_event_alarm_catalog', 'not_null', 'id', 0"]
+            + [
+                f"SELECT '{table}', 'unique', 'id', count(*) FROM (SELECT id FROM {table} GROUP BY 1 HAVING count(*) > 1)"
+                for table in ("tb_power_plants", "tb_devices")
+            ]
+        ),
         "freshness_report": " UNION ALL ".join(
             f"""SELECT 'raw_{kind}' AS source_name, max(timestamp) AS newest, CASE
             WHEN max(timestamp) < (SELECT as_of - INTERVAL 30 MINUTES FROM clock) THEN 'error'
