@@ -60,7 +60,7 @@ def month_to_date(raw: DataFrame, clock: Clock) -> DataFrame:
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the batch put in: a key found in the batch replaces every target row of that key."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 

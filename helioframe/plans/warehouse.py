@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import DAY, Clock, between, interval, naive_timestamp
@@ -48,6 +48,10 @@ STATUS_KINDS = ("inverter", "logger", "meter", "relay", "weather_station")
 HISTORY_LATEST = ("meter", "relay", "tracker", "weather_station")
 
 
+def _newest_event() -> list[Column]:
+    return [F.desc("timestamp"), F.desc("id")]
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Raw telemetry per device type, and the reference tables."""
@@ -152,8 +156,8 @@ class Warehouse:
     def refresh_events(self, full: bool = False) -> None:
         """Events after the settled time are worked out again from the staged readings.
 
-        The states as of the settled time are kept in a table of their own, one row per device and code,
-        so no run looks through old events for them.
+        The newest event of each plant, device and code up to the settled time is kept in a table of its
+        own, so neither this run nor the overview looks through old events for it.
         """
         settled = None if full else self.positions.read("settled_events")
         readings = {
@@ -170,24 +174,35 @@ class Warehouse:
         if newest is None:
             return
         known = self._states(settled)
-        seeds = known.select(*STATE_KEY, F.col("value").alias("last_value")) if known is not None else None
-        changes = sinks.materialize(self.spark, state_changes(discrete, seeds))
+        seeds = None
+        if known is not None:
+            newest_known = newest_per(known, STATE_KEY, _newest_event())
+            seeds = newest_known.select(*STATE_KEY, F.col("value").alias("last_value"))
         dimensions = (self.inputs.catalog, self.inputs.devices, self.inputs.plants)
-        fresh = sinks.with_day(enrich_events(changes, *dimensions))
+        changes = state_changes(discrete, seeds)
+        fresh = sinks.materialize(self.spark, sinks.with_day(enrich_events(changes, *dimensions)))
         self._replace_events(fresh, settled)
 
         settle = self._earlier(newest)
         if settled is None or settle > settled:
-            states = changes.filter(F.col("timestamp") <= naive_timestamp(settle)).select(*STATE_KEY, "timestamp", "value")
+            states = fresh.filter(F.col("timestamp") <= naive_timestamp(settle)).drop(DAY)
             if known is not None:
-                states = states.unionByName(known)
-            order = [F.desc("timestamp"), F.desc("value")]
-            newest_states = newest_per(states, STATE_KEY, order)
-            newest_states.write.mode("overwrite").parquet(self._states_path(settle))
+                states = states.unionByName(known, allowMissingColumns=True)
+            kept = newest_per(states, ["power_plant_id", *STATE_KEY], _newest_event())
+            kept.write.mode("overwrite").parquet(self._states_path(settle))
             self.positions.write("settled_events", settle)
             if settled is not None:
                 sinks.delete_path(self.spark, self._states_path(settled))
-        sinks.discard(self.spark, changes)
+        sinks.discard(self.spark, fresh)
+
+    def current_events(self) -> DataFrame:
+        """Enough events to tell every current alarm state: the kept ones and those after them."""
+        events = self.table("int_events_alarms").drop(DAY)
+        settled = self.positions.read("settled_events")
+        if settled is None:
+            return events
+        recent = between(self.table("int_events_alarms"), naive_timestamp(settled)).drop(DAY)
+        return self._states(settled).unionByName(recent, allowMissingColumns=True)
 
     def _earlier(self, moment: datetime) -> datetime:
         bound = naive_timestamp(moment) - interval(self.limits.allowed_lateness)
@@ -266,7 +281,7 @@ class Warehouse:
             self.table("int_weather_station_latest_readings"),
             self.table("int_inverter_availability"),
             self.table("int_relay_availability"),
-            self.table("int_events_alarms"),
+            self.current_events(),
             self.inverter_latest(clock),
             self.table("stg_inverter_analogic_data"),
             self.table("stg_weather_station_analogic_data"),
