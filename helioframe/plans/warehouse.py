@@ -24,6 +24,7 @@ from helioframe.operators.quality import declared_checks
 from helioframe.operators.staging import latest_string_currents, stage_analog, stage_discrete
 from helioframe.operators.status import plant_status
 from helioframe.plans.overview import plants_overview
+from helioframe.schemas import RAW
 from helioframe.session import ensure_utc
 from helioframe.sources import sinks
 from helioframe.sources.control import Positions
@@ -98,6 +99,25 @@ class Warehouse:
     def has(self, name: str) -> bool:
         return table_exists(self.spark, self.path(name))
 
+    def staged(self, kind: str, family: str = "analogic") -> DataFrame:
+        """A staged table; without rows while no reading of the device type has come in."""
+        name = f"stg_{kind}_{family}_data"
+        if self.has(name):
+            return self.table(name)
+        nothing = self.spark.createDataFrame([], RAW)
+        return sinks.with_day(stage_analog(nothing, kind) if family == "analogic" else stage_discrete(nothing, kind))
+
+    def latest(self, kind: str) -> DataFrame:
+        name = f"int_{kind}_latest_readings"
+        return self.table(name) if self.has(name) else latest_readings(self.staged(kind), kind)
+
+    def events(self) -> DataFrame:
+        if self.has("int_events_alarms"):
+            return self.table("int_events_alarms")
+        nothing = discrete_union({kind: self.staged(kind, "discrete").limit(0) for kind in EVENT_KINDS})
+        dimensions = (self.inputs.catalog, self.inputs.devices, self.inputs.plants)
+        return sinks.with_day(enrich_events(state_changes(nothing), *dimensions))
+
     # Staging
 
     def absorb(self, kind: str, raw: DataFrame, clock: Clock, full: bool = False) -> list[date]:
@@ -124,7 +144,7 @@ class Warehouse:
     def _refresh_latest(self, kind: str, raw: DataFrame, full: bool) -> None:
         name = f"int_{kind}_latest_readings"
         if full or not self.has(name):
-            newest = latest_readings(self.table(f"stg_{kind}_analogic_data"), kind)
+            newest = latest_readings(self.staged(kind), kind)
         else:
             newest = merge_latest(self.table(name), latest_readings(stage_analog(raw, kind), kind))
         sinks.refresh(self.spark, newest, self.path(name))
@@ -197,11 +217,10 @@ class Warehouse:
 
     def current_events(self) -> DataFrame:
         """Enough events to tell every current alarm state: the kept ones and those after them."""
-        events = self.table("int_events_alarms").drop(DAY)
         settled = self.positions.read("settled_events")
         if settled is None:
-            return events
-        recent = between(self.table("int_events_alarms"), naive_timestamp(settled)).drop(DAY)
+            return self.events().drop(DAY)
+        recent = between(self.events(), naive_timestamp(settled)).drop(DAY)
         return self._states(settled).unionByName(recent, allowMissingColumns=True)
 
     def _earlier(self, moment: datetime) -> datetime:
@@ -237,7 +256,7 @@ class Warehouse:
 
     def refresh_energy(self, clock: Clock, full: bool = False, days: Sequence[date] = ()) -> None:
         """Days of the recompute window, and any older day that late readings belong to."""
-        analog = self.table("stg_inverter_analogic_data")
+        analog = self.staged("inverter")
         for name, compute, keys in (
             ("int_inverter_daily_energy_timeseries", daily_energy, ["date"]),
             ("int_inverter_power_plant_daily_energy_timeseries", plant_daily_energy, ["date", "power_plant_id"]),
@@ -252,7 +271,7 @@ class Warehouse:
             share = availability(
                 self.inputs.devices,
                 self.inputs.plants,
-                self.table(f"stg_{kind}_{staged}_data"),
+                self.staged(kind, staged),
                 kind,
                 clock,
                 lookback=self.limits.lookback,
@@ -261,16 +280,15 @@ class Warehouse:
             sinks.refresh(self.spark, share, self.path(f"int_{kind}_availability"))
 
     def refresh_logger_latest(self, clock: Clock) -> None:
-        newest = latest_readings(self.table("stg_logger_analogic_data"), "logger", clock, self.limits.lookback)
+        newest = latest_readings(self.staged("logger"), "logger", clock, self.limits.lookback)
         sinks.refresh(self.spark, newest, self.path("int_logger_latest_readings"))
 
     def inverter_latest(self, clock: Clock) -> DataFrame:
-        return latest_readings_long(self.table("stg_inverter_analogic_data"), clock, self.limits.lookback)
+        return latest_readings_long(self.staged("inverter"), clock, self.limits.lookback)
 
     def status(self, clock: Clock) -> DataFrame:
-        readings = {kind: self.table(f"stg_{kind}_analogic_data") for kind in STATUS_KINDS}
-        events = self.table("int_events_alarms")
-        return plant_status(readings, events, self.inputs.plants, clock, self.limits.window)
+        readings = {kind: self.staged(kind) for kind in STATUS_KINDS}
+        return plant_status(readings, self.events(), self.inputs.plants, clock, self.limits.window)
 
     def string_currents(self) -> DataFrame:
         return latest_string_currents(self.inputs.raw["inverter"], self.inputs.devices, self.limits.valid_from)
@@ -278,13 +296,13 @@ class Warehouse:
     def overview(self, clock: Clock) -> DataFrame:
         return plants_overview(
             self.inputs.plants,
-            self.table("int_weather_station_latest_readings"),
+            self.latest("weather_station"),
             self.table("int_inverter_availability"),
             self.table("int_relay_availability"),
             self.current_events(),
             self.inverter_latest(clock),
-            self.table("stg_inverter_analogic_data"),
-            self.table("stg_weather_station_analogic_data"),
+            self.staged("inverter"),
+            self.staged("weather_station"),
             clock,
             lookback=self.limits.lookback,
             window=self.limits.window,
@@ -305,8 +323,8 @@ class Warehouse:
 
     def run(self, clock: Clock, full: bool = False) -> None:
         """Bring every stored table up to the clock."""
-        loaded = {kind: self.load(kind, clock, full) for kind in ANALOG_FIELDS}
-        self.refresh_derived(clock, full, loaded["inverter"])
+        loaded = {kind: self.load(kind, clock, full) for kind in self.inputs.raw}
+        self.refresh_derived(clock, full, loaded.get("inverter", []))
         self.commit()
 
     def checks(self, clock: Clock) -> DataFrame:

@@ -131,7 +131,8 @@ def upsert(
     """
     if not table_exists(spark, path):
         create_partitioned(batch, path, partition)
-        return _values(read_table(spark, path), partition)
+        # A batch without rows leaves no files, and so no table yet.
+        return _values(read_table(spark, path), partition) if table_exists(spark, path) else []
     stored = read_table(spark, path)
     if on_schema_change == "sync" and set(stored.columns) != set(batch.columns):
         _write(sync_columns(stored, batch), path, partition, "overwrite")

@@ -63,8 +63,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a write to this path has been committed, on any file system the cluster can reach."""
+    """Whether a table with data files is there, on any file system the cluster can reach."""
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+    if not files.exists(folder):
+        return False
+    names = (status.getPath().getName() for status in files.listStatus(folder))
+    return any(not name.startswith(("_", ".")) for name in names)

@@ -100,3 +100,16 @@ def test_views_and_maintenance(spark, inputs, full):
     gone = sinks.drop_expired(spark, path, data.clock(), "10 days")
     assert gone == [d for d in days if d < "2024-01-20"]
     assert full.table("stg_logger_analogic_data").agg(F.min("timestamp")).first()[0] >= datetime(2024, 1, 20)
+
+
+def test_a_plant_with_inverters_only(spark, inputs, tmp_path):
+    data, given = inputs
+    only = Inputs({"inverter": given.raw["inverter"]}, given.devices, given.plants, given.catalog)
+    warehouse = Warehouse(spark, str(tmp_path), only, LIMITS)
+    # The clock stands before the cut-off, so there are readings but no events yet.
+    warehouse.run(Clock(datetime(2024, 1, 2, 12)))
+    assert warehouse.events().count() == 0
+    assert warehouse.table("stg_inverter_analogic_data").count() > 0
+    mart = warehouse.table("mart_power_plants_overview")
+    assert mart.count() == 20
+    assert mart.filter("irradiance_wm2 <> 0 OR pr_pct IS NOT NULL").count() == 0
