@@ -317,18 +317,34 @@ def _naive_utc(df: DataFrame) -> DataFrame:
     return df.withColumns(instants) if instants else df
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where their subpackage has been taken out."""
+    try:
+        import corpus_pipeline
+        import helioframe.llm.queries as llm
+    except ModuleNotFoundError as gone:
+        if gone.name not in ("corpus_pipeline", "helioframe.llm", "helioframe.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Each registered query takes a session and a test-data folder."""
-    return {
+    telemetry = {
         name: (lambda spark, folder, build=build: _naive_utc(build(Models(spark, folder))))
         for name, build in _QUERIES.items()
     }
+    return {**telemetry, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import oracle_sql as sql
 
-    return sql()
+    return {**sql(), **_training_data()[1]}
 
 
 def entry(spark: SparkSession) -> DataFrame:

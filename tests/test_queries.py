@@ -6,8 +6,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _QUERIES, entry
 from check_oracles import compare, connect
+from oracles import oracle_sql as telemetry_sql
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(_QUERIES) == set(telemetry_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(_QUERIES))
 def test_query(spark, con, name):
     mine, theirs, _ = compare(spark, con, FOLDER, name)
     assert mine == theirs
