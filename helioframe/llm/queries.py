@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import toxicity
+from helioframe.llm import secrets, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,7 +33,38 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = secrets.find_secrets(docs, secrets.train(secrets.labelled_samples(docs)))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(secrets.KINDS)]
+    return found.select(
+        "doc_id",
+        *count[:3],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        count[3],
+    )
+
+
+#: The rules of the URL filter.
+RULES = [
+    urlfilter.Rule("block", "net", "/"),
+    urlfilter.Rule("allow", "example.net", "/en/"),
+    urlfilter.Rule("block", "example.com", "/de/"),
+    urlfilter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").filter("quality IS NOT NULL")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).cast("int").alias("bad"))
+    return urlfilter.judge(_table(spark, folder, "pages"), outcomes, RULES)
+
+
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_toxicity": op3_toxicity,
+    "op10_urls": op10_urls,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_urls": urlfilter.oracle_sql(RULES)}
