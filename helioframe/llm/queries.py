@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import secrets, toxicity, urlfilter
+from helioframe.llm import pieces, secrets, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,17 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    path = piece_model()
+    return pieces.digests(pieces.decode(pieces.encode(_table(spark, folder, "documents"), path), path))
+
+
 #: The rules of the URL filter.
 RULES = [
     urlfilter.Rule("block", "net", "/"),
@@ -65,6 +76,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_toxicity": op3_toxicity,
+    "op7_pieces": op7_pieces,
     "op10_urls": op10_urls,
 }
 ORACLES: dict[str, str] = {"op10_urls": urlfilter.oracle_sql(RULES)}
