@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import pieces, secrets, toxicity, urlfilter
+from helioframe.llm import neardup, pieces, secrets, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(_table(spark, folder, "documents")).drop("digest")
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -76,6 +80,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_toxicity": op3_toxicity,
+    "op5_near": op5_near,
     "op7_pieces": op7_pieces,
     "op10_urls": op10_urls,
 }
