@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import neardup, pieces, secrets, toxicity, urlfilter
+from helioframe.llm import lines, neardup, pieces, secrets, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,12 @@ def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(pieces.decode(pieces.encode(_table(spark, folder, "documents"), path), path))
 
 
+def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = lines.clean(_table(spark, folder, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return cleaned.select("doc_id", F.col("__removed").alias("n_removed"), digest.alias("cleaned_sha256"))
+
+
 #: The rules of the URL filter.
 RULES = [
     urlfilter.Rule("block", "net", "/"),
@@ -82,6 +88,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_near": op5_near,
     "op7_pieces": op7_pieces,
+    "op8_lines": op8_lines,
     "op10_urls": op10_urls,
 }
-ORACLES: dict[str, str] = {"op10_urls": urlfilter.oracle_sql(RULES)}
+ORACLES: dict[str, str] = {"op8_lines": lines.ORACLE_SQL, "op10_urls": urlfilter.oracle_sql(RULES)}

@@ -159,6 +159,6 @@ d AS (SELECT domain, (bad + (1 / rho - 1) * mean) / (seen + 1 / rho - 1) AS doma
 h0 AS (SELECT host, seen, bad, domain_rate AS mean FROM hosts JOIN d USING (domain)),
 h1 AS (SELECT host, seen, 1 / rho - 1 AS k, (bad + (1 / rho - 1) * mean) / (seen + 1 / rho - 1) AS rate FROM h0, (SELECT {rho("h0", "mean")} AS rho)),
 h AS (SELECT host, rate - {Z} * sqrt(rate * (1 - rate) / (seen + k + 1)) AS bound FROM h1)
-SELECT page_id, parts.host AS host, path, CASE {names} END AS rule,
+SELECT page_id, host, path, CASE {names} END AS rule,
   coalesce(CASE {verdicts} END, CASE WHEN bound > {limit} THEN 'block' ELSE 'allow' END) AS verdict
-FROM parts LEFT JOIN h ON h.host = parts.host"""
+FROM parts LEFT JOIN h USING (host)"""
