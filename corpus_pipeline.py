@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from helioframe.llm import toxicity
+from helioframe.llm import decontaminate, lines, neardup, pieces, toxicity
 from helioframe.llm.common import written
-from helioframe.llm.queries import toxicity_model
+from helioframe.llm.queries import benchmark_items, piece_model, toxicity_model
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +22,34 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.reject_toxic(docs, toxicity_model(spark, docs, sf_dir))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that spread over many sources; n_chars follows the text."""
+    cleaned = lines.clean(docs)
+    columns = [F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return cleaned.select(*columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each near-duplicate class."""
+    return neardup.one_of_each(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.reject_contaminated(docs, benchmark_items(spark, sf_dir))
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the token ids of its text with the end id, and their number."""
+    return pieces.encode(docs, piece_model()).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
+    ("near_dedup", near_stage),
+    ("decontamination", benchmark_stage),
+    ("sentencepiece", pieces_stage),
 ]
 
 #: Learnt weights, random-walk embeddings and token merges are not SQL; the stages are tested against brute force.

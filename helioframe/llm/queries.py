@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import lines, neardup, pieces, secrets, toxicity, urlfilter
+from helioframe.llm import decontaminate, lines, neardup, pieces, secrets, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,14 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def benchmark_items(spark: SparkSession, folder: str) -> decontaminate.Items:
+    return decontaminate.load_items(_table(spark, folder, "benchmark"))
+
+
+def op2_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.hits(_table(spark, folder, "documents"), benchmark_items(spark, folder))
+
+
 def op5_near(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(_table(spark, folder, "documents")).drop("digest")
 
@@ -85,6 +93,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_benchmark": op2_benchmark,
     "op3_toxicity": op3_toxicity,
     "op5_near": op5_near,
     "op7_pieces": op7_pieces,
