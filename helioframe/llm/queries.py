@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import decontaminate, lines, neardup, pieces, secrets, toxicity, urlfilter
+from helioframe.llm import decontaminate, fingerprint, lines, neardup, pieces, secrets, tokenfile, toxicity, urlfilter
+from helioframe.llm.common import new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +60,18 @@ def op5_near(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(_table(spark, folder, "documents")).drop("digest")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    tokenfile.write_tokens(_table(spark, folder, "documents"), byte_vocabulary(), path)
+    return tokenfile.digests(tokenfile.read_tokens(spark, path))
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -76,6 +89,10 @@ def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", F.col("__removed").alias("n_removed"), digest.alias("cleaned_sha256"))
 
 
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, folder, "documents"))
+
+
 #: The rules of the URL filter.
 RULES = [
     urlfilter.Rule("block", "net", "/"),
@@ -96,8 +113,10 @@ QUERIES = {
     "op2_benchmark": op2_benchmark,
     "op3_toxicity": op3_toxicity,
     "op5_near": op5_near,
+    "op6_token_files": op6_token_files,
     "op7_pieces": op7_pieces,
     "op8_lines": op8_lines,
+    "op9_fingerprints": op9_fingerprints,
     "op10_urls": op10_urls,
 }
 ORACLES: dict[str, str] = {"op8_lines": lines.ORACLE_SQL, "op10_urls": urlfilter.oracle_sql(RULES)}
