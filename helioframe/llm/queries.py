@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import decontaminate, fingerprint, lines, neardup, pieces, secrets, tokenfile, toxicity, urlfilter
+from helioframe.llm import decontaminate, fingerprint, lines, neardup, pieces, pseudonyms, secrets, tokenfile, toxicity, urlfilter
 from helioframe.llm.common import new_folder
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _count(findings: str, kind: int | str) -> Column:
+    """How many findings of an array are of the kind."""
+    return F.size(F.filter(findings, lambda f: f["kind"] == kind)).cast("long")
+
+
 def learnt_from(doc_id: str = "doc_id"):
     """Whether labels of a document may be learnt: its checksum is not in the held-out third."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1
@@ -38,7 +43,7 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     found = secrets.find_secrets(docs, secrets.train(secrets.labelled_samples(docs)))
     base = F.filter("spans", lambda s: s["kind"] < 3)
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(secrets.KINDS)]
+    count = [_count("spans", k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
     return found.select(
         "doc_id",
         *count[:3],
@@ -56,6 +61,16 @@ def op2_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.hits(_table(spark, folder, "documents"), benchmark_items(spark, folder))
 
 
+#: The key of the registered query; a deployment passes its own.
+PSEUDONYM_KEY = "helioframe"
+
+
+def op4_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    made = pseudonyms.pseudonymize(_table(spark, folder, "documents"), PSEUDONYM_KEY)
+    count = [_count("found", kind).alias(f"n_{kind}") for kind in pseudonyms.KINDS]
+    return made.select("doc_id", "text", *count)
+
+
 def op5_near(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(_table(spark, folder, "documents")).drop("digest")
 
@@ -112,6 +127,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_benchmark": op2_benchmark,
     "op3_toxicity": op3_toxicity,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_near": op5_near,
     "op6_token_files": op6_token_files,
     "op7_pieces": op7_pieces,
