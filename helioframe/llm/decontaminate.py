@@ -10,7 +10,7 @@ Windows have the size of an item and lie where the edit bound allows a match at
 n words, some run of ``ceil((n - d) / (d + 1))`` words of the item stands unchanged in the passage, so each
 window is laid out from such a run (of three words at most) and no match lies beside all of them.
 
-The items are the stated query set, sent to all tasks after a check of their size; documents are never
+The items are the stated query set, sent to all tasks in blocks of a checked size; documents are never
 shuffled. Defined results: null and empty texts and items without words match nothing; repeated items match
 each; repeated rows give their hits each; of several hits of an item in a text the one of least distance,
 then the first, is returned; a null item id is an id like any other; extra columns are not read.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from helioframe.llm.wordhash import mix, words
 EDITS = 0.2
 WALKS, SAMPLES, BITS = 8, 12, 3
 RUN = 3
-#: Items are sent to every task while their texts have at most this many bytes.
+#: Items are sent to the tasks in blocks of about this many bytes of text.
 MOST_BYTES = 64 << 20
 _U = np.uint64
 _BLOCK = 2048
@@ -195,18 +196,20 @@ def _cut(flat: np.ndarray, begins: np.ndarray, text: np.ndarray, start: np.ndarr
     return np.where(inside, flat[np.clip(at, 0, len(flat) - 1)], _U(1))
 
 
-def load_items(benchmark: DataFrame, item_id: str = "item_id") -> Items:
-    """The items, after a check that their texts may be sent to every task."""
+def load_items(benchmark: DataFrame, item_id: str = "item_id", most_bytes: int = MOST_BYTES) -> list[Items]:
+    """The items in blocks whose texts have about ``most_bytes`` at most; one block where all fit."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text().alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size > MOST_BYTES:
-        raise ValueError(f"the items have {size} bytes; split them into sets of at most {MOST_BYTES}")
-    found = rows.orderBy("item_id", "text").collect()
-    return prepare([r["item_id"] for r in found], [r["text"] for r in found])
+    number = max(1, -(-size // most_bytes))
+    blocks = []
+    for k in range(number):
+        block = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == k) if number > 1 else rows
+        found = block.orderBy("item_id", "text").collect()
+        blocks.append(prepare([r["item_id"] for r in found], [r["text"] for r in found]))
+    return blocks
 
 
-def hits(docs: DataFrame, items: Items) -> DataFrame:
-    """doc_id, item_id, edits and end_word of every item found in every row of ``docs``."""
+def _block_hits(docs: DataFrame, items: Items) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +226,12 @@ def hits(docs: DataFrame, items: Items) -> DataFrame:
     return numbered_text(docs).mapInArrow(run, "doc_id long, item_id long, edits long, end_word long")
 
 
-def reject_contaminated(docs: DataFrame, items: Items) -> DataFrame:
-    """The rows without any item, with all their columns, in one pass without a shuffle."""
+def hits(docs: DataFrame, items: list[Items]) -> DataFrame:
+    """doc_id, item_id, edits and end_word of every item found in every row of ``docs``."""
+    return reduce(DataFrame.unionByName, [_block_hits(docs, block) for block in items])
+
+
+def _without_block(docs: DataFrame, items: Items) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(items)
     at = docs.columns.index("text")
 
@@ -237,3 +244,8 @@ def reject_contaminated(docs: DataFrame, items: Items) -> DataFrame:
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def reject_contaminated(docs: DataFrame, items: list[Items]) -> DataFrame:
+    """The rows without any item, with all their columns, without a shuffle."""
+    return reduce(_without_block, items, docs)

@@ -109,7 +109,10 @@ def test_benchmark_matches_equal_brute_force(spark, odd, empty):
     assert set(found) <= set(wanted)
     assert len(found) >= 0.98 * len(wanted)
     assert sum(found[x] == wanted[x] for x in found) >= 0.98 * len(found)
-    kept = decontaminate.reject_contaminated(table(spark, texts), known)
+    blocks = decontaminate.load_items(benchmark, most_bytes=200)
+    assert len(blocks) > 1
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.hits(table(spark, texts), blocks).collect()} == set(found)
+    kept = decontaminate.reject_contaminated(table(spark, texts), blocks)
     assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in found}
     assert decontaminate.reject_contaminated(odd, known).columns == odd.columns
     assert decontaminate.reject_contaminated(odd, known).count() == len(ODD) + 1
