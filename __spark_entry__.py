@@ -23,6 +23,7 @@ from helioframe.session import shared_dir  # noqa: E402
 from helioframe.sources import sinks  # noqa: E402
 from helioframe.sources import testdata as td  # noqa: E402
 from helioframe.sources.tables import read_table  # noqa: E402
+from helioframe.specs import WEATHER_HORIZON  # noqa: E402
 from helioframe.sources.testdata import Telemetry  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -66,7 +67,7 @@ class Models:
     def analog(self, kind: str) -> DataFrame:
         raw = self.raw(kind)
         if kind == "weather_station":
-            raw = incremental.within_horizon(raw, self.clock, td.HORIZON)
+            raw = incremental.within_horizon(raw, self.clock, WEATHER_HORIZON)
         return staging.stage_analog(raw, kind)
 
     def analog_corrected(self, kind: str) -> DataFrame:
@@ -304,7 +305,7 @@ _QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "source_checks": Models.source_checks,
     "freshness_report": lambda m: quality.freshness_report({f"raw_{kind}": m.raw(kind) for kind in td.KINDS}, m.clock),
     "duplicate_audit": Models.raw_copies,
-    "device_last_24h": lambda m: adhoc.device_history(m.analog("inverter"), 1, m.clock, td.HORIZON),
+    "device_last_24h": lambda m: adhoc.device_history(m.analog("inverter"), 1, m.clock, td.LOOKBACK),
     "newest_readings": lambda m: adhoc.newest_readings(m.analog("inverter")),
     "last_processed": lambda m: adhoc.last_processed(m.analog("inverter")),
     "daily_counts": lambda m: adhoc.daily_counts(m.analog("inverter")),

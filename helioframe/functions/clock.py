@@ -57,8 +57,13 @@ def naive_timestamp(moment: datetime | str) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
+#: A date with a time behind it; less would be filled up from the day the job runs.
+FULL_TIME = r"^\s*[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}"
+
+
 def payload_instant(text: Column) -> Column:
-    return text.try_cast("timestamp")
+    """The instant a payload names; a text without a full date and time names none."""
+    return F.when(text.rlike(FULL_TIME), text.try_cast("timestamp"))
 
 
 def payload_local(text: Column) -> Column:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def round2_sql(value: str) -> str:
-    """Two decimal places, halves away from zero, as SQL over SQL."""
-    return f"cast(round(cast({value} AS decimal(38,18)), 2) AS decimal(18,2))"
+    """Two decimal places, halves away from zero, as SQL over SQL; NULL for a number that does not fit."""
+    return f"try_cast(round(try_cast({value} AS decimal(38,18)), 2) AS decimal(18,2))"
 
 
 def round2(value: Column) -> Column:
-    """Two decimal places, halves away from zero."""
-    return F.round(value.cast("decimal(38,18)"), 2).cast("decimal(18,2)")
+    """Two decimal places, halves away from zero; NULL for a number that does not fit."""
+    return F.round(value.try_cast("decimal(38,18)"), 2).try_cast("decimal(18,2)")
 
 
 def signed_hash64(text: Column) -> Column:

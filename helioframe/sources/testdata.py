@@ -17,7 +17,6 @@ from helioframe.session import ensure_utc
 from helioframe.specs import ANALOG_FIELDS, DEVICE_TYPES
 
 KINDS = ("inverter", "relay", "logger", "tracker", "weather_station", "meter")
-SILENT_DEVICES = 12
 VALID_FROM = "2024-01-03 00:00:00"
 SECOND_CLOCK = datetime(2024, 1, 15, 12, 10)
 LOOKBACK = "24 hours"
@@ -167,9 +166,7 @@ class Telemetry:
         )
 
     def devices(self) -> DataFrame:
-        _, last_user = self._limit()
-        registered = self.table("customer").filter(F.col("c_custkey") <= last_user + SILENT_DEVICES)
-        return registered.selectExpr(
+        return self.table("customer").selectExpr(
             "c_custkey + 1 AS id",
             "CAST(c_custkey % 6 + 1 AS INT) AS device_type_id",
             f"(c_custkey DIV 6) % {PLANTS} + 1 AS power_plant_id",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from helioframe.sources import testdata as td
-from helioframe.specs import ANALOG_FIELDS, DEVICE_TYPES, INVERTER_DISPLAY
+from helioframe.specs import ANALOG_FIELDS, DEVICE_TYPES, INVERTER_DISPLAY, WEATHER_HORIZON
 
 _VALID_FROM = f"TIMESTAMP '{td.VALID_FROM}'"
 _SECOND = f"TIMESTAMP '{td.SECOND_CLOCK}'"
@@ -161,7 +161,7 @@ def _fixture() -> list[tuple[str, str]]:
             "tb_devices",
             f"""SELECT c_custkey + 1 AS id, CAST(c_custkey % 6 + 1 AS INTEGER) AS device_type_id,
             (c_custkey // 6) % {td.PLANTS} + 1 AS power_plant_id, c_name AS device_name, c_custkey % 11 <> 0 AS is_active
-            FROM customer WHERE c_custkey <= (SELECT max(user_id) FROM events) + {td.SILENT_DEVICES}""",
+            FROM customer""",
         ),
         (
             "catalog",
@@ -184,7 +184,7 @@ def _fixture() -> list[tuple[str, str]]:
     for kind in td.KINDS:
         source = f"raw_{kind}"
         if kind == "weather_station":
-            source = f"(SELECT * FROM raw_{kind} WHERE timestamp >= (SELECT as_of - {_interval(td.HORIZON)} FROM clock))"
+            source = f"(SELECT * FROM raw_{kind} WHERE timestamp >= (SELECT as_of - {_interval(WEATHER_HORIZON)} FROM clock))"
         ctes.append((f"stg_{kind}", _stage(kind, source)))
     for kind in ("inverter", "weather_station"):
         month = f"(SELECT * FROM raw_{kind} WHERE timestamp >= (SELECT date_trunc('month', as_of) FROM clock))"
@@ -421,7 +421,7 @@ def _bodies() -> dict[str, str]:
         ),
         "duplicate_audit": f"""SELECT copies, count(*) AS keys, copies * count(*) AS rows FROM (
             SELECT device_id, {_LOCAL} AS t, count(*) AS copies FROM raw_inverter GROUP BY 1, 2) GROUP BY 1""",
-        "device_last_24h": f"SELECT {_SHOWN} FROM stg_inverter WHERE device_id = 1 AND timestamp >= (SELECT local_now - {_interval(td.HORIZON)} FROM clock)",
+        "device_last_24h": f"SELECT {_SHOWN} FROM stg_inverter WHERE device_id = 1 AND timestamp >= (SELECT local_now - {_interval(td.LOOKBACK)} FROM clock)",
         "newest_readings": f"SELECT {_SHOWN} FROM stg_inverter ORDER BY timestamp DESC, device_id LIMIT 10",
         "last_processed": "SELECT max(timestamp) AS last_processed FROM stg_inverter",
         "daily_counts": """SELECT CAST(timestamp AS DATE) AS day, count(*) AS records, count(DISTINCT device_id) AS devices FROM stg_inverter

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helioframe.functions.clock import Clock, payload_local, time_bucket, zone_to_instant
 from helioframe.functions.gridvalue import extract_grid_value, grid_value
-from helioframe.functions.text import event_id
+from helioframe.functions.text import event_id, round2, round2_sql
 
 VALUES = [
     ('"-517996.544@20251130135055"', "FLOAT", -517996.544),
@@ -54,6 +54,13 @@ def test_grid_values(spark):
         grid_value("j", "JSON")
 
 
+def test_rounding_never_fails(spark):
+    values = spark.createDataFrame([(1e21,), (float("nan"),), (float("inf"),), (1e17,), (2.345,), (-0.125,)], "v double")
+    wanted = [None, None, None, None, Decimal("2.35"), Decimal("-0.13")]
+    assert [r[0] for r in values.select(round2(F.col("v"))).collect()] == wanted
+    assert [r[0] for r in values.selectExpr(round2_sql("v")).collect()] == wanted
+
+
 def test_clocks(spark):
     one = spark.range(1)
     clock = Clock(datetime(2025, 12, 11, 13, 50, 14))
@@ -62,6 +69,8 @@ def test_clocks(spark):
         payload_local(F.lit("2025-12-11T13:50:14Z")).alias("payload"),
         payload_local(F.lit("2025-12-11T10:50:14-03:00")).alias("offset"),
         payload_local(F.lit("soon")).alias("bad"),
+        payload_local(F.lit("12:30")).alias("time_only"),
+        payload_local(F.lit("2026")).alias("year_only"),
         clock.local().alias("local"),
         clock.fixed_local().alias("fixed"),
         summer.local().alias("summer"),
@@ -72,7 +81,7 @@ def test_clocks(spark):
     ).first()
     here = datetime(2025, 12, 11, 10, 50, 14)
     assert row["payload"] == row["offset"] == row["local"] == row["fixed"] == here
-    assert row["bad"] is None
+    assert row["bad"] is None and row["time_only"] is None and row["year_only"] is None
     # Summer time ran until 2019: the zone moves two hours there, payload times always three.
     assert row["summer"] == datetime(2018, 12, 11, 11, 50, 14)
     assert row["summer_fixed"] == datetime(2018, 12, 11, 10, 50, 14)
