@@ -26,42 +26,41 @@ MARGIN = 0.25
 _LG_K = 10
 
 
-def line_hash(line: Column) -> Column:
-    """128 bits of a line without the white space around it."""
-    bare = F.trim(F.regexp_replace(line, r"^\s+|\s+$", ""))
-    return F.when(bare != "", F.unhex(F.md5(bare)))
+_BLANKS = " \t\n\x0b\f\r"
+_KEY = ["h1", "h2"]
 
 
 def line_table(docs: DataFrame, site: str = "source") -> DataFrame:
-    """doc_id, text_key, site, pos and hash of every line that counts."""
-    text = whole_text()
+    """doc_id, text_key, site (a hash), pos and the 128 bits h1 and h2 of every line that counts."""
+    text, bare = whole_text(), F.col("bare")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text).alias("text_key"),
-        F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("site"),
+        F.xxhash64(F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit(""))).alias("site"),
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     )
-    return rows.select("doc_id", "text_key", "site", "pos", line_hash(F.col("line")).alias("hash")).filter("hash IS NOT NULL")
+    rows = rows.withColumn("bare", F.btrim("line", F.lit(_BLANKS))).filter("bare != ''")
+    return rows.select("doc_id", "text_key", "site", "pos", F.xxhash64(bare).alias("h1"), F.xxhash64(F.lit(7), bare).alias("h2"))
 
 
 def spread_lines(lines: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
-    """hash and first_id of the lines that stand on at least ``sites`` distinct sites."""
+    """h1, h2 and first_id of the lines that stand on at least ``sites`` distinct sites."""
     # Lines seen on one site only need no sketch; the two extremes tell them apart in a plain aggregation.
-    several = lines.groupBy("hash").agg(F.min("site").alias("a"), F.max("site").alias("b"), F.min("doc_id").alias("first_id"))
-    several = written(several.filter("a != b" if sites > 1 else "true").select("hash", "first_id"), "several")
-    shared = written(lines.select("hash", "site").join(several.select("hash"), "hash", "left_semi"), "shared")
+    several = lines.groupBy(*_KEY).agg(F.min("site").alias("a"), F.max("site").alias("b"), F.min("doc_id").alias("first_id"))
+    several = written(several.filter("a != b" if sites > 1 else "true").select(*_KEY, "first_id"), "several")
+    shared = written(lines.select(*_KEY, "site").join(several.select(*_KEY), _KEY, "left_semi"), "shared")
     estimate = F.hll_sketch_estimate(F.hll_sketch_agg("site", _LG_K))
-    counted = shared.groupBy("hash").agg(estimate.alias("sites"))
+    counted = shared.groupBy(*_KEY).agg(estimate.alias("sites"))
     counted = written(counted, "estimates")
-    near = counted.filter(F.col("sites").between(sites * (1 - margin), sites * (1 + margin))).select("hash")
-    exact = shared.join(near, "hash", "left_semi").distinct().groupBy("hash").count().filter(F.col("count") >= sites)
+    near = counted.filter(F.col("sites").between(sites * (1 - margin), sites * (1 + margin))).select(*_KEY)
+    exact = shared.join(near, _KEY, "left_semi").distinct().groupBy(*_KEY).count().filter(F.col("count") >= sites)
     sure = counted.filter(F.col("sites") > sites * (1 + margin))
-    return written(several.join(sure.select("hash").unionByName(exact.select("hash")), "hash"), "spread")
+    return written(several.join(sure.select(*_KEY).unionByName(exact.select(*_KEY)), _KEY), "spread")
 
 
 def removals(lines: DataFrame, spread: DataFrame) -> DataFrame:
     """doc_id, text_key and ``gone``, the positions of the lines that go."""
-    out = lines.join(spread, "hash").filter((F.col("doc_id") != F.col("first_id")) | (F.col("doc_id").isNull() & F.col("first_id").isNotNull()))
+    out = lines.join(spread, _KEY).filter((F.col("doc_id") != F.col("first_id")) | (F.col("doc_id").isNull() & F.col("first_id").isNotNull()))
     return out.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
@@ -83,7 +82,7 @@ def clean(docs: DataFrame, sites: int = SITES, site: str = "source") -> DataFram
 ORACLE_SQL = f"""
 WITH docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, coalesce('=' || source, '') AS site FROM documents),
 parts AS (SELECT k, doc_id, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs),
-bare AS (SELECT *, trim(regexp_replace(line, '^\\s+|\\s+$', '', 'g')) AS b FROM parts),
+bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS b FROM parts),
 spread AS (SELECT b, min(doc_id) AS first_id FROM bare WHERE b <> '' GROUP BY b HAVING count(DISTINCT site) >= {SITES}),
 marked AS (SELECT k, pos, line, first_id IS NOT NULL AND bare.doc_id IS DISTINCT FROM first_id AS gone FROM bare LEFT JOIN spread USING (b)),
 cleaned AS (SELECT k, count(*) FILTER (gone) AS removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM marked GROUP BY k)
