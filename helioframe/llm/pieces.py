@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ from helioframe.llm.common import numbered_text
 
 SPACE = "▁"
 GROUP = 1 << 21
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
+LONG = 64
 _NONE = np.iinfo(np.int32).max
 
 
@@ -73,13 +75,13 @@ class Vocabulary:
         self.bigrams = np.array(sorted(bigrams), dtype=np.int64)
         # Words may be cut before a space only where no piece has a space behind another character.
         crossing = any(a != SPACE and b == SPACE for p in ids for a, b in zip(p, p[1:]))
-        self.words = re.compile("(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.words = None if crossing else re.compile(" *[^ ]+| +")
         raw = [self._bytes(model, i, pieces[i], plain[i]) for i in range(size)]
         self.lengths = np.array([len(b) for b in raw], dtype=np.int64)
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self.data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         self.spaced = np.array([plain[i] and pieces[i].startswith(SPACE) for i in range(size)])
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
 
     @staticmethod
     def _bytes(model, i: int, piece: str, plain: bool) -> bytes:
@@ -95,7 +97,7 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.made[at], -1)
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, all words going through the merge rounds together."""
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         word_of = np.repeat(np.arange(len(words)), [len(w) for w in words])
@@ -148,19 +150,31 @@ class Vocabulary:
             symbol, owner = np.repeat(symbol, counts), np.repeat(owner, counts)
             symbol[symbol < 0] = self.byte[np.frombuffer(b"".join(spelt), dtype=np.uint8)]
         cuts = np.searchsorted(owner, np.arange(len(words) + 1))
-        flat = symbol.tolist()
-        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text, without an end id."""
-        split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = list({w for words in split for w in words if w not in self.cache})
+        flat = symbol.astype(np.int32).tobytes()
+        ends = (cuts * 4).tolist()
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _split(self, text: str) -> list[str]:
+        """The words of a text, each without the space every word begins with."""
+        if not text or self.words is None:
+            return [text] if text else []
+        if "  " in text or SPACE in text or text[0] == " " or text[-1] == " ":
+            return [w[1:] for w in self.words.findall(" " + text.replace(SPACE, " "))]
+        return text.split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit numbers, without an end id."""
+        split = [self._split(t) for t in texts]
+        if len(self.cache) > CACHE_WORDS:  # frequent words are met first, so the older half is kept
+            self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
+        new = list(set().union(*split).difference(self.cache))
         if new:
-            self.cache.update(zip(new, self.encode_words(new)))
-        known = self.cache
-        return [[i for w in words for i in known[w]] for words in split]
+            self.cache.update(zip(new, self.encode_words([SPACE + w.replace(" ", SPACE) for w in new])))
+        encoded = [b"".join(map(self.cache.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > LONG:
+                del self.cache[word]
+        return encoded
 
     def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[str]:
         """Texts of flat ids; ``begins`` has one more entry than there are texts."""
@@ -202,11 +216,14 @@ def encode(docs: DataFrame, path: str, end: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        tail = [vocab.end] if end else []
+        tail = np.array([vocab.end] if end else [], dtype=np.int32).tobytes()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in _groups([len(t) for t in texts]):
-                ids = pa.array([i + tail for i in vocab.encode(texts[a:b])], type=pa.list_(pa.int32()))
+                found = [i + tail for i in vocab.encode(texts[a:b])]
+                cuts = np.concatenate([[0], np.cumsum([len(i) // 4 for i in found])]).astype(np.int32)
+                flat = np.frombuffer(b"".join(found), dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))
                 yield pa.record_batch([batch.column(0).slice(a, b - a), ids], names=["doc_id", "ids"])
 
     return numbered_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
