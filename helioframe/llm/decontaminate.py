@@ -8,7 +8,7 @@ an item in any of them is compared with the item exactly.
 
 Windows have the size of an item and lie where the edit bound allows a match at all: with at most d edits in
 n words, some run of ``ceil((n - d) / (d + 1))`` words of the item stands unchanged in the passage, so each
-window is laid out from such a run (of three words at most) and no match lies beside all of them.
+window is laid out from such a run (of up to four words) and no match lies beside all of them.
 
 The items are the stated query set, sent to all tasks in blocks of a checked size; documents are never
 shuffled. Defined results: null and empty texts and items without words match nothing; repeated items match
@@ -32,7 +32,6 @@ from helioframe.llm.wordhash import mix, words
 
 EDITS = 0.2
 WALKS, SAMPLES, BITS = 8, 12, 3
-RUN = 3
 #: Items are sent to the tasks in blocks of about this many bytes of text.
 MOST_BYTES = 64 << 20
 _U = np.uint64
@@ -47,7 +46,7 @@ def allowed(n: np.ndarray | int):
 def run_length(n: int) -> int:
     """Words of an item that must stand unchanged side by side in any match."""
     d = int(allowed(n))
-    return min(RUN, -(-(n - d) // (d + 1)))
+    return -(-(n - d) // (d + 1))
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
