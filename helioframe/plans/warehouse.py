@@ -6,9 +6,9 @@ time. Both give the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,7 @@ from helioframe.specs import (
 READING_KEY = ("device_id", "timestamp")
 STATE_KEY = ("device_id", "code")
 EVENT_KINDS = ("inverter", "relay")
+_NONE_LATE = datetime(9999, 1, 1)
 STATUS_KINDS = ("inverter", "logger", "meter", "relay", "weather_station")
 HISTORY_LATEST = ("meter", "relay", "tracker", "weather_station")
 
@@ -130,17 +131,33 @@ class Warehouse:
         analog = sinks.with_day(stage_analog(raw, kind))
         days = self._store(f"stg_{kind}_analogic_data", analog, full)
         if kind in DISCRETE_RULES:
-            self._store(f"stg_{kind}_discrete_data", sinks.with_day(stage_discrete(raw, kind)), full)
+            noted = self._note_late if kind in EVENT_KINDS else None
+            self._store(f"stg_{kind}_discrete_data", sinks.with_day(stage_discrete(raw, kind)), full, noted)
         if kind in HISTORY_LATEST:
             self._refresh_latest(kind, raw, full)
         return days
 
-    def _store(self, name: str, rows: DataFrame, full: bool) -> list[date]:
+    def _store(
+        self, name: str, rows: DataFrame, full: bool, on_change: Callable[[DataFrame], None] | None = None
+    ) -> list[date]:
         if not full:
-            return sinks.upsert(self.spark, rows, self.path(name), READING_KEY)
+            return sinks.upsert(self.spark, rows, self.path(name), READING_KEY, on_change=on_change)
         sinks.create_partitioned(rows, self.path(name))
         return []
 
+    def _note_late(self, changed: DataFrame) -> None:
+        """Record, before they are stored, how far back new discrete readings go behind the settled time.
+
+        It is kept with the positions, so a run that dies after storing them still brings their events up.
+        """
+        settled = self.positions.read("settled_events")
+        oldest = None if settled is None else changed.agg(F.min("timestamp")).first()[0]
+        if oldest is None or oldest > settled:
+            return
+        noted = self.positions.read("late_events")
+        if noted is None or oldest < noted:
+            self.positions.write("late_events", oldest)
+
     def _refresh_latest(self, kind: str, raw: DataFrame, full: bool) -> None:
         name = f"int_{kind}_latest_readings"
         if full or not self.has(name):
@@ -152,30 +169,37 @@ class Warehouse:
     def load(self, kind: str, clock: Clock, full: bool = False) -> list[date]:
         """Stage the raw rows that arrived since the last load, up to the clock.
 
+        Rows up to ``allowed_lateness`` before that are read again, because a row may be written after newer
+        ones; the stored table takes the same row only once.
         The new position is only recorded by ``commit``, after the derived tables have been brought up
         too: a run that dies half-way is simply repeated, and repeating it changes nothing.
         """
         name = f"raw_{kind}"
         arrived = self.inputs.raw[kind].filter(F.col("timestamp") <= clock.instant())
         done = None if full else self.positions.read(name)
-        batch = incremental_filter(arrived, done)
+        batch = incremental_filter(arrived, done, allowed_lateness=self.limits.allowed_lateness)
         newest = watermark_of(batch)
         if newest is None:
             return []
         days = self.absorb(kind, batch, clock, full)
-        self._reached[name] = newest
+        self._reached[name] = newest if done is None else max(newest, done)
         return days
 
     def commit(self) -> None:
         for name, position in self._reached.items():
             self.positions.write(name, position)
         self._reached.clear()
+        noted = self.positions.read("late_events")
+        if noted is not None and noted < _NONE_LATE:
+            self.positions.write("late_events", _NONE_LATE)
 
     # Events
 
-    def refresh_events(self, full: bool = False) -> None:
-        """Events after the settled time are worked out again from the staged readings.
+    def refresh_events(self, clock: Clock, full: bool = False) -> None:
+        """Events after the settled time, or since the oldest late reading, are worked out again.
 
+        A reading whose own time lies beyond the clock waits in the staged table until that time has come, so
+        a device with a wrong clock holds up no other.
         The newest event of each plant, device and code up to the settled time is kept in a table of its
         own, so neither this run nor the overview looks through old events for it.
         """
@@ -187,13 +211,22 @@ class Warehouse:
         }
         if not readings:
             return
+        since = settled
         if settled is not None:
-            readings = {kind: between(df, naive_timestamp(settled)) for kind, df in readings.items()}
-        discrete = discrete_union(readings, self.limits.valid_from)
+            late = self.positions.read("late_events")
+            if late is not None and late <= settled:
+                since = late - timedelta(microseconds=1)
+            readings = {kind: between(df, naive_timestamp(since)) for kind, df in readings.items()}
+        due = {kind: df.filter(F.col("timestamp") <= clock.local()) for kind, df in readings.items()}
+        discrete = discrete_union(due, self.limits.valid_from)
         newest = watermark_of(discrete)
         if newest is None:
             return
         known = self._states(settled)
+        if since != settled:
+            older = self.events().filter(F.col("timestamp") <= naive_timestamp(since)).drop(DAY)
+            # Written out, because the files it comes from are replaced below.
+            known = sinks.materialize(self.spark, newest_per(older, ["power_plant_id", *STATE_KEY], _newest_event()))
         seeds = None
         if known is not None:
             newest_known = newest_per(known, STATE_KEY, _newest_event())
@@ -201,19 +234,23 @@ class Warehouse:
         dimensions = (self.inputs.catalog, self.inputs.devices, self.inputs.plants)
         changes = state_changes(discrete, seeds)
         fresh = sinks.materialize(self.spark, sinks.with_day(enrich_events(changes, *dimensions)))
-        self._replace_events(fresh, settled)
+        self._replace_events(fresh, since)
 
         settle = self._earlier(newest)
-        if settled is None or settle > settled:
+        if settled is not None:
+            settle = max(settle, settled)
+        if settle != settled or since != settled:
             states = fresh.filter(F.col("timestamp") <= naive_timestamp(settle)).drop(DAY)
             if known is not None:
                 states = states.unionByName(known, allowMissingColumns=True)
             kept = newest_per(states, ["power_plant_id", *STATE_KEY], _newest_event())
             kept.write.mode("overwrite").parquet(self._states_path(settle))
             self.positions.write("settled_events", settle)
-            if settled is not None:
+            if settled is not None and settle != settled:
                 sinks.delete_path(self.spark, self._states_path(settled))
         sinks.discard(self.spark, fresh)
+        if since != settled:
+            sinks.discard(self.spark, known)
 
     def current_events(self) -> DataFrame:
         """Enough events to tell every current alarm state: the kept ones and those after them."""
@@ -309,7 +346,7 @@ class Warehouse:
         )
 
     def refresh_derived(self, clock: Clock, full: bool = False, days: Sequence[date] = ()) -> None:
-        self.refresh_events(full)
+        self.refresh_events(clock, full)
         self.refresh_energy(clock, full, days)
         self.refresh_availability(clock)
         self.refresh_logger_latest(clock)

@@ -8,8 +8,9 @@ old ones when the job commits, so a task that is retried after a lost executor s
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +85,10 @@ def create_partitioned(df: DataFrame, path: str, partition: str = DAY) -> None:
 def refresh(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Full refresh of a small table that may itself be among the inputs."""
     ready = materialize(spark, df)
-    ready.write.mode("overwrite").parquet(path)
-    discard(spark, ready)
+    try:
+        ready.write.mode("overwrite").parquet(path)
+    finally:
+        discard(spark, ready)
 
 
 def create_view(df: DataFrame, name: str) -> None:
@@ -114,6 +117,15 @@ def _values(df: DataFrame, partition: str) -> list:
     return [row[0] for row in df.select(partition).distinct().collect()]
 
 
+def changed_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows that the table does not hold in the very same form; only keys and a hash are shuffled."""
+    # The hash of a row passes over NULLs, so where they stand is hashed with it.
+    row = F.xxhash64(*batch.columns, F.array(*(F.col(c).isNull() for c in batch.columns)))
+    held = stored.select(*(F.col(k).alias(f"__held_{k}") for k in keys), row.alias("__held_row"))
+    same = [F.col(k).eqNullSafe(F.col(f"__held_{k}")) for k in keys] + [F.col("__row") == F.col("__held_row")]
+    return batch.withColumn("__row", row).join(held, reduce(Column.__and__, same), "left_anti").drop("__row")
+
+
 def upsert(
     spark: SparkSession,
     batch: DataFrame,
@@ -122,14 +134,18 @@ def upsert(
     *,
     partition: str = DAY,
     on_schema_change: str = "fail",
+    on_change: Callable[[DataFrame], None] | None = None,
 ) -> list:
     """Put a batch with unique keys into a partitioned table; its rows replace rows of the same key.
 
-    The usual batch brings new keys only and is appended. Partitions are rewritten only where a key is
-    there already; finding those reads no more than the key columns of the partitions the batch names.
-    Running the same batch again changes nothing. Returns the partition values the batch names.
+    Rows that are stored already in the same form are left out first, so a batch that is delivered again
+    writes nothing. New keys are appended, and a partition is rewritten only where a key comes with other
+    values. ``on_change`` is given the rows that will be written, before they are. Returns the partition
+    values the batch names.
     """
     if not table_exists(spark, path):
+        if on_change:
+            on_change(batch)
         create_partitioned(batch, path, partition)
         # A batch without rows leaves no files, and so no table yet.
         return _values(read_table(spark, path), partition) if table_exists(spark, path) else []
@@ -139,19 +155,27 @@ def upsert(
         stored = read_table(spark, path)
     check_schema(batch, stored)
 
-    columns = batch.columns
-    batch = materialize(spark, batch)
-    values = _values(batch, partition)
-    named = stored.filter(F.col(partition).isin(values))
-    match = list(dict.fromkeys([*keys, partition]))
-    clashing = _values(named.select(*match).join(batch.select(*match), match, "left_semi"), partition)
-    if clashing:
-        inside = F.col(partition).isin(clashing)
-        _write(merge_by_key(named.filter(inside), batch.filter(inside), keys).select(*columns), path, partition, "overwrite")
-        _write(batch.filter(~inside), path, partition, "append")
-    else:
-        _write(batch, path, partition, "append")
-    discard(spark, batch)
+    columns, match = batch.columns, list(dict.fromkeys([*keys, partition]))
+    ready = materialize(spark, batch)
+    changed = None
+    try:
+        values = _values(ready, partition)
+        named = stored.filter(F.col(partition).isin(values))
+        changed = materialize(spark, changed_rows(ready, named.select(*columns), match))
+        if on_change:
+            on_change(changed)
+        clashing = _values(named.select(*match).join(changed.select(*match), match, "left_semi"), partition)
+        fresh = changed
+        if clashing:
+            inside = F.col(partition).isin(clashing)
+            merged = merge_by_key(named.filter(inside), changed.filter(inside), keys).select(*columns)
+            _write(merged, path, partition, "overwrite")
+            fresh = changed.filter(~inside)
+        _write(fresh, path, partition, "append")
+    finally:
+        discard(spark, ready)
+        if changed is not None:
+            discard(spark, changed)
     return values
 
 

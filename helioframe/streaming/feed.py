@@ -1,7 +1,7 @@
 """A raw stream into the stored warehouse, one micro-batch at a time.
 
 Each micro-batch goes through the same steps as an incremental run: newest arrival per reading, keyed
-upsert, events worked out again from the settled time. Every step may be repeated, so a micro-batch
+upsert, and all derived tables up to the plant overview. Every step may be repeated, so a micro-batch
 that Spark delivers again after a failure leaves the tables as they were.
 
 Change detection is not done with per-key state functions: those hand all rows of one device and code
@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from helioframe.functions.clock import Clock
 from helioframe.operators.incremental import watermark_of
-from helioframe.plans.warehouse import EVENT_KINDS, Warehouse
+from helioframe.plans.warehouse import Warehouse
 from helioframe.sources import sinks
 
 
@@ -32,18 +32,25 @@ def tagged_union(raw_by_kind: Mapping[str, DataFrame]) -> DataFrame:
 def absorb_batch(warehouse: Warehouse, batch: DataFrame) -> None:
     """Put one micro-batch of tagged raw rows into the warehouse."""
     ready = sinks.materialize(batch.sparkSession, batch)
+    try:
+        _absorb(warehouse, ready)
+    finally:
+        sinks.discard(batch.sparkSession, ready)
+
+
+def _absorb(warehouse: Warehouse, ready: DataFrame) -> None:
     newest = watermark_of(ready)
     if newest is not None:
-        clock = Clock(newest)
+        # A micro-batch of old arrivals does not turn the time back.
+        before = warehouse.positions.read("feed")
+        clock = Clock(newest if before is None else max(before, newest))
         kinds = sorted(row[0] for row in ready.select("kind").distinct().collect())  # a few device types
         days = {
             kind: warehouse.absorb(kind, ready.filter(F.col("kind") == kind).drop("kind"), clock) for kind in kinds
         }
-        if set(kinds) & set(EVENT_KINDS):
-            warehouse.refresh_events()
-        if "inverter" in kinds:
-            warehouse.refresh_energy(clock, days=days["inverter"])
-    sinks.discard(batch.sparkSession, ready)
+        warehouse.refresh_derived(clock, days=days.get("inverter", ()))
+        warehouse.positions.write("feed", clock.as_of)
+        warehouse.commit()
 
 
 def start_feed(

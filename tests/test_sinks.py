@@ -43,6 +43,16 @@ def test_upsert_replaces_keys_and_leaves_other_days_alone(spark, folder):
     assert third < files(read_table(spark, path).filter(F.col("date") == date(2026, 2, 3)))
 
 
+def test_a_batch_delivered_again_writes_nothing(spark, folder):
+    path = folder + "/t"
+    batch = readings(spark, (1, 0, "a"), (1, 1, None), (2, 0, "c"))
+    sinks.upsert(spark, batch, path, ["device_id", "timestamp"])
+    kept = files(read_table(spark, path))
+    seen = []
+    sinks.upsert(spark, batch, path, ["device_id", "timestamp"], on_change=lambda rows: seen.append(rows.count()))
+    assert files(read_table(spark, path)) == kept and seen == [0]
+
+
 def test_append_replace_and_schema_guard(spark, folder):
     path = folder + "/t"
     sinks.create_partitioned(readings(spark, (1, 0, "a"), (2, 0, "b")), path)

@@ -9,6 +9,7 @@ from conftest import rows
 from helioframe.operators.energy import device_day_energy
 from helioframe.operators.latest import latest_readings
 from helioframe.operators.staging import stage_analog
+from helioframe.functions.clock import Clock
 from helioframe.plans.warehouse import Inputs, Limits, Warehouse
 from helioframe.sources import testdata as td
 from helioframe.sources.tables import read_raw, read_raw_stream
@@ -99,15 +100,15 @@ def test_feed_equals_full_refresh(spark, raw_paths, tmp_path):
         kind: read_raw_stream(spark, path, maxFilesPerTrigger="1") for kind, path in raw_paths.items()
     }
     finished(start_feed(fed, streams, str(tmp_path / "cp")))
-    for kind in raw_paths:
-        full.load(kind, data.clock(), full=True)
-    full.refresh_events(full=True)
-    full.refresh_energy(data.clock(), full=True)
+    full.run(Clock(fed.positions.read("feed")), full=True)
     for name in (
         "stg_inverter_analogic_data",
         "stg_relay_discrete_data",
         "int_relay_latest_readings",
         "int_events_alarms",
         "int_inverter_power_plant_daily_energy_timeseries",
+        "int_inverter_availability",
+        "int_relay_availability",
+        "mart_power_plants_overview",
     ):
         assert rows(fed.table(name)) == rows(full.table(name)), name

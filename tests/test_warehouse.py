@@ -74,7 +74,7 @@ def test_incremental_runs_equal_a_full_refresh(spark, inputs, full, tmp_path):
     for kind in ("inverter", "meter"):
         warehouse.positions.write(f"raw_{kind}", cuts[0])
         days = warehouse.load(kind, Clock(end))
-    warehouse.refresh_events()
+    warehouse.refresh_events(Clock(end))
     warehouse.refresh_energy(Clock(end), days=days)
     assert {name: rows(warehouse.table(name)) for name in COMPARED} == before
 
@@ -113,3 +113,47 @@ def test_a_plant_with_inverters_only(spark, inputs, tmp_path):
     mart = warehouse.table("mart_power_plants_overview")
     assert mart.count() == 20
     assert mart.filter("irradiance_wm2 <> 0 OR pr_pct IS NOT NULL").count() == 0
+
+
+def raw_inverter(spark, *readings):
+    """Raw rows from (arrival, payload time, device, state of code 2003), both times of 20 January."""
+    made = [
+        (datetime.fromisoformat(f"2024-01-20 {arrival}:00"), 1, device, f'{{"timestamp":"{payload}:00Z","2003":"{state}"}}')
+        for arrival, payload, device, state in readings
+    ]
+    frame = spark.createDataFrame(made, "timestamp timestamp_ntz, power_plant_id long, device_id long, json_data string")
+    return frame.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def test_late_arrivals_late_readings_and_a_clock_ahead(spark, inputs, tmp_path):
+    _, given = inputs
+    batches = [
+        [("11:00", "2024-01-20 11:00", 1, 0), ("12:05", "2024-01-20 12:05", 1, 1)],
+        # Written late: it arrived before the newest row of the first run.
+        [("12:03", "2024-01-20 12:03", 7, 1)],
+        # A reading from long before the settled time, a device whose clock is ahead, and a usual reading.
+        [("16:00", "2024-01-20 09:00", 1, 1), ("16:01", "2035-01-01 00:00", 13, 1), ("16:02", "2024-01-20 16:02", 1, 0)],
+        [("16:30", "2024-01-20 16:30", 1, 1), ("16:31", "2024-01-20 16:31", 7, 0)],
+    ]
+    hours = ["12:10", "12:20", "16:10", "16:40"]
+
+    def warehouse(name, rows_so_far):
+        raw = {"inverter": raw_inverter(spark, *rows_so_far)}
+        return Warehouse(spark, str(tmp_path / name), Inputs(raw, given.devices, given.plants, given.catalog), LIMITS)
+
+    arrived = []
+    for batch, hour in zip(batches, hours):
+        arrived += batch
+        clock = Clock(datetime.fromisoformat(f"2024-01-20 {hour}:00"))
+        step = warehouse("steps", arrived)
+        for kind in step.inputs.raw:
+            step.load(kind, clock)
+        step.refresh_events(clock)
+        step.commit()
+        whole = warehouse(f"whole-{hour[:2]}{hour[3:]}", arrived)
+        whole.load("inverter", clock, full=True)
+        whole.refresh_events(clock, full=True)
+        for name in ("stg_inverter_analogic_data", "stg_inverter_discrete_data", "int_events_alarms"):
+            assert rows(step.table(name)) == rows(whole.table(name)), (hour, name)
+    assert step.table("stg_inverter_discrete_data").count() == 8
+    assert step.table("int_events_alarms").filter("device_id = 13").count() == 0
