@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from helioframe.llm.common import numbered_text
 
 SPACE = "▁"
-GROUP = 1 << 21
-CACHE_WORDS = 1_000_000
+GROUP = 1 << 20
+CACHE_WORDS = 300_000
 LONG = 64
 _NONE = np.iinfo(np.int32).max
 

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from helioframe.llm.common import numbered_text
 
 END = 0
-CACHE_WORDS = 1_000_000
-GROUP = 1 << 21
+CACHE_WORDS = 300_000
+GROUP = 1 << 20
 ROW_GROUP = 32 << 20
 PAGE = 128 << 10
 PAGE_ROWS = 500
