@@ -8,9 +8,12 @@ agree in a coordinate with the probability of their weighted Jaccard similarity.
 coordinates find a pair of similarity 0.8 with probability over 0.99999.
 
 Equal texts are folded first. In each bucket texts are compared with the bucket's least and greatest text,
-never with all others, and links count when the exact similarity is 0.8 or more. Buckets that still hold
-several classes are compared again between one text of each class, in another order, until a round finds no
-new link. Classes are the connected components of the links, found by star contraction.
+and links count when the exact similarity is 0.8 or more. Buckets that still hold several classes are compared
+again between one text of each class, in another order, until a round adds few links. Then every pair of texts
+of different classes that share a bucket is verified unless a bound rules it out: the weights of two texts of
+similarity 0.8 differ by a fifth at most, and in any common order of the shingles such texts share one among
+their first ``floor(weight / 5) + 1`` (prefix filter). The order is by rising number of texts, so what a family
+of texts has in common comes last. Classes are the connected components of the links, found by star contraction.
 
 Defined results: null and empty texts are equal texts and so one class; texts without words are alike only
 when equal; texts of fewer than five words have one shingle; repeated rows and ids each get a row; the class
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioframe.llm.common import numbered_text, written
@@ -34,6 +37,10 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
+#: Rounds of single comparisons end when one adds less than this share of the links; all other pairs come after.
+_FEW = 0.05
+#: Texts of a shingle are paired in blocks of about this many on each side.
+_SIDE = 1000
 _DARTS = SIZE * (np.log(SIZE) + 2)
 _CELLS = 1 << 18
 _U = np.uint64
@@ -163,6 +170,59 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, last, hashes, begins in words(batch.column(2)):
+            grams, cuts = shingles(hashes, begins, WORDS)
+            bags = [weights(grams[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            distinct = [len(bag[0]) for bag in bags]
+            at = pa.array(np.repeat(np.arange(first, last), distinct))
+            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.repeat(np.diff(cuts), distinct), pa.int64())]
+            elements, many = (np.concatenate(x) for x in zip(*bags))
+            columns += [pa.array(elements.view(np.int64)), pa.array(many, pa.int64())]
+            yield pa.record_batch(columns, names=["text", "root", "weight", "element", "many"])
+
+
+def _other_pairs(members: DataFrame, roots: DataFrame, whole: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes that may be alike; holds all those that share a bucket."""
+    named = members.join(roots, F.col("digest") == F.col("node"), "left").select("bucket", "digest", F.coalesce("root", "digest").alias("root"))
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket")
+    left = written(named.join(mixed, "bucket").select("digest", "root").distinct(), "left")
+    units = whole.join(left, "digest").select(F.unhex("digest").alias("digest"), F.unhex("root").alias("root"), "text")
+    units = written(units.mapInArrow(_units, "text binary, root binary, weight long, element long, many long"), "units")
+    # A shingle of one class alone pairs no classes; such come first in the order.
+    shared = units.groupBy("element").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    shared = shared.filter("lo != hi").select("element", "texts")
+    each = Window.partitionBy("text")
+    before = F.coalesce(F.sum("many").over(each.orderBy("texts", "element").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.col("weight") - F.sum("many").over(each) + before
+    prefix = units.join(shared, "element").withColumn("place", place)
+    prefix = prefix.filter(F.col("place") < F.floor(F.col("weight") * (1 - SIMILAR) + 1e-6) + 1)
+    prefix = written(prefix.select("element", "text", "root", "weight"), "prefix")
+    # No pairs inside the largest class of a shingle are made; both sides go in blocks.
+    sizes = prefix.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("element").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("big"))
+    sizes = sizes.filter("all > most").select(
+        "element", "big", F.ceil((F.col("all") - F.col("most")) / _SIDE).cast("int").alias("p"), F.ceil(F.col("all") / _SIDE).cast("int").alias("q")
+    )
+    sided = prefix.join(sizes, "element")
+    block = lambda n: F.pmod(F.xxhash64("text"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = sided.filter("root != big").select("element", block("p").alias("i"), every("q").alias("j"), F.col("text").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"))
+    two = sided.select("element", every("p").alias("i"), block("q").alias("j"), F.col("text").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"))
+    pairs = one.join(two, ["element", "i", "j"]).filter(F.col("ra") != F.col("rb"))
+    pairs = pairs.filter(F.least("wa", "wb") >= F.greatest("wa", "wb") * SIMILAR - 1e-6)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b"))
+
+
+def _alike(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    left = whole.select(F.col("digest").alias("a"), F.col("text").alias("left"))
+    right = whole.select(F.col("digest").alias("b"), F.col("text").alias("right"))
+    checked = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return written(checked.mapInArrow(_verify, "a string, b string, alike boolean").filter("alike").select("a", "b"), "links")
+
+
 def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct texts (digest, doc_id, bands) and the verified links (a, b) between their digests."""
     sketched = _digested(docs).mapInArrow(_sketches, "doc_id long, digest string, bands array<bigint>")
@@ -176,16 +236,10 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = written(whole.select("digest", "text").dropDuplicates(["digest"]), "whole")
     pairs = written(_pairs(members, 1), "pairs")
     tried = pairs
-    links = None
-    salt = 1
-    while True:
-        left = whole.select(F.col("digest").alias("a"), F.col("text").alias("left"))
-        right = whole.select(F.col("digest").alias("b"), F.col("text").alias("right"))
-        checked = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        found = written(checked.mapInArrow(_verify, "a string, b string, alike boolean").filter("alike").select("a", "b"), "links")
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            return texts, links
+    links = found = _alike(pairs, whole)
+    number, total, salt = found.count(), 0, 1
+    while number > _FEW * total:
+        total += number
         salt += 1
         roots = components(links)
         # One member of each class in each bucket, another one each round.
@@ -194,6 +248,11 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         one = named.groupBy("bucket", "root").agg(F.min_by("digest", F.xxhash64(F.lit(salt), "bucket", "digest")).alias("digest"))
         pairs = written(_pairs(one, salt).join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
+        found = _alike(pairs, whole)
+        number = found.count()
+        links = links.unionByName(found)
+    others = written(_other_pairs(members, components(links), whole).join(tried, ["a", "b"], "left_anti"), "pairs")
+    return texts, links.unionByName(_alike(others, whole))
 
 
 def classes(docs: DataFrame) -> DataFrame:

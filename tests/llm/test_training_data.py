@@ -226,6 +226,19 @@ def test_near_duplicates_equal_brute_force(spark, odd, empty):
     assert neardup.classes(empty).count() == 0 and neardup.one_of_each(empty).count() == 0
 
 
+def test_near_duplicates_of_a_template_equal_brute_force(spark):
+    """Texts of one template, of similarity 0.78, fill the buckets; pairs of 0.81 lie among them."""
+    texts, common = [], prose(77, 180)
+    for k in range(300):
+        texts.append(" ".join(common + [f"own{k}x{j}" for j in range(25)]))
+    for k in range(0, 300, 4):
+        texts.append(" ".join(texts[k].split()[:184] + [f"new{k}x{j}" for j in range(21)]))
+    found = {r["doc_id"]: r["class_id"] for r in neardup.classes(table(spark, texts)).collect()}
+    wanted = brute_classes(texts)
+    assert len(set(wanted)) == 300
+    assert sum(found[i] != wanted[i] for i in range(len(texts))) == 0
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     shared, left, right = (rng.integers(0, 2**63, size=n).astype(np.uint64) for n in (300, 100, 100))
