@@ -16,9 +16,10 @@ their first ``floor(weight / 5) + 1`` (prefix filter). The order is by rising nu
 of texts has in common comes last. Classes are the connected components of the links, found by star contraction.
 
 Defined results: null and empty texts are equal texts and so one class; texts without words are alike only
-when equal; texts of fewer than five words have one shingle; repeated rows and ids each get a row; the class
-is the least id of its documents (null only if none has an id); an empty table gives an empty result; extra
-columns are kept by ``one_of_each`` and not read.
+when equal; texts of fewer than five words have one shingle; repeated rows and ids each get a row; ``class_id``
+is the least id of the class's documents (null only if none has an id), and as ids may be null or repeated,
+``class_digest`` (the least digest of a text of the class) tells classes apart; an empty table gives an empty
+result; extra columns are kept by ``one_of_each`` and not read.
 """
 
 from __future__ import annotations
@@ -256,24 +257,28 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and n_links (verified links of its text) of every row of ``docs``."""
+    """doc_id, class_id, n_links (verified links of its text), digest and class_digest of every row of ``docs``."""
     texts, links = text_links(docs)
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = ends.groupBy(F.col("a").alias("digest")).agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(links).withColumnRenamed("node", "digest")
-    labelled = texts.select("digest", "doc_id").join(roots, "digest", "left").select("digest", "doc_id", F.coalesce("root", "digest").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    labelled = labelled.join(least, "root").join(degree, "digest", "left")
-    labelled = written(labelled.select("digest", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
-    return _digested(docs).select("doc_id", "digest").join(labelled, "digest").select("doc_id", "class_id", "n_links", "digest")
+    labelled = texts.select("digest", "doc_id").join(roots, "digest", "left")
+    labelled = labelled.select("digest", "doc_id", F.coalesce("root", "digest").alias("class_digest"))
+    least = labelled.groupBy("class_digest").agg(F.min("doc_id").alias("class_id"))
+    labelled = labelled.join(least, "class_digest").join(degree, "digest", "left")
+    labelled = written(labelled.select("digest", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "class_digest"), "classes")
+    rows = _digested(docs).select("doc_id", "digest").join(labelled, "digest")
+    return rows.select("doc_id", "class_id", "n_links", "digest", "class_digest")
 
 
 def one_of_each(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` with all their columns, one of each class: that with the least id."""
     labelled = classes(docs) if labelled is None else labelled
     # Of equal ids the least text stays; of rows equal in both, any one.
-    kept = labelled.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("digest").alias("__digest"))
-    key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    kept = kept.select(F.struct(F.coalesce(F.col("class_id").cast("string"), F.lit("null")), "__digest").alias("__kept"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    kept = labelled.groupBy("class_digest").agg(first).select("first.doc_id", "first.digest")
+    name = lambda doc_id: F.coalesce(doc_id.cast("string"), F.lit("null"))
+    key = F.struct(name(F.col("doc_id").cast("long")), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    kept = kept.select(F.struct(name(F.col("doc_id")), "digest").alias("__kept"))
     rows = docs.withColumn("__kept", key).join(kept, "__kept", "left_semi")
     return rows.dropDuplicates(["__kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -239,6 +239,18 @@ def test_near_duplicates_of_a_template_equal_brute_force(spark):
     assert sum(found[i] != wanted[i] for i in range(len(texts))) == 0
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    unlike = [" ".join(prose(900 + k, 40)) for k in range(8)]
+    near = unlike[7] + " end"
+    docs = table(spark, [*unlike, near, unlike[0]], [None, None, None, 7, 7, 7, 8, 7, 9, None])
+    kept = sorted((r["text"], r["doc_id"]) for r in neardup.one_of_each(docs).collect())
+    assert len(kept) == 8
+    assert kept == sorted(zip(unlike, [None, None, None, 7, 7, 7, 8, 7]))
+    labelled = neardup.classes(docs).collect()
+    assert len(labelled) == 10 and len({r["class_digest"] for r in labelled}) == 8
+    assert len({r["class_digest"] for r in labelled if r["class_id"] == 7}) == 4
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     shared, left, right = (rng.integers(0, 2**63, size=n).astype(np.uint64) for n in (300, 100, 100))
