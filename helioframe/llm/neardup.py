@@ -12,7 +12,7 @@ and links count when the exact similarity is 0.8 or more. Buckets that still hol
 again between one text of each class, in another order, until a round adds few links. Then every pair of texts
 of different classes that share a bucket is verified unless a bound rules it out: the weights of two texts of
 similarity 0.8 differ by a fifth at most, and in any common order of the shingles such texts share one among
-their first ``floor(weight / 5) + 1`` (prefix filter). The order is by rising number of texts, so what a family
+their first ``floor(weight / 5) + 1`` (prefix filter), from which on both have as much as they must have in common. The order is by rising number of texts, so what a family
 of texts has in common comes last. Classes are the connected components of the links, found by star contraction.
 
 Defined results: null and empty texts are equal texts and so one class; texts without words are alike only
@@ -199,7 +199,7 @@ def _other_pairs(members: DataFrame, roots: DataFrame, whole: DataFrame) -> Data
     place = F.col("weight") - F.sum("many").over(each) + before
     prefix = units.join(shared, "element").withColumn("place", place)
     prefix = prefix.filter(F.col("place") < F.floor(F.col("weight") * (1 - SIMILAR) + 1e-6) + 1)
-    prefix = written(prefix.select("element", "text", "root", "weight"), "prefix")
+    prefix = written(prefix.select("element", "text", "root", "weight", (F.col("weight") - F.col("place")).alias("rest")), "prefix")
     # No pairs inside the largest class of a shingle are made; both sides go in blocks.
     sizes = prefix.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("element").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("big"))
@@ -209,10 +209,12 @@ def _other_pairs(members: DataFrame, roots: DataFrame, whole: DataFrame) -> Data
     sided = prefix.join(sizes, "element")
     block = lambda n: F.pmod(F.xxhash64("text"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = sided.filter("root != big").select("element", block("p").alias("i"), every("q").alias("j"), F.col("text").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"))
-    two = sided.select("element", every("p").alias("i"), block("q").alias("j"), F.col("text").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"))
+    one = sided.filter("root != big").select("element", block("p").alias("i"), every("q").alias("j"), F.col("text").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"), F.col("rest").alias("ea"))
+    two = sided.select("element", every("p").alias("i"), block("q").alias("j"), F.col("text").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"), F.col("rest").alias("eb"))
     pairs = one.join(two, ["element", "i", "j"]).filter(F.col("ra") != F.col("rb"))
     pairs = pairs.filter(F.least("wa", "wb") >= F.greatest("wa", "wb") * SIMILAR - 1e-6)
+    # All that two texts have in common stands from their first common shingle on.
+    pairs = pairs.filter(F.least("ea", "eb") >= (F.col("wa") + F.col("wb")) * (SIMILAR / (1 + SIMILAR)) - 1e-6)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b"))
 
