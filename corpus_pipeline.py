@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.llm import decontaminate, lines, neardup, pieces, toxicity
-from helioframe.llm.common import written
+from helioframe.llm.common import free_name, written
 from helioframe.llm.queries import benchmark_items, piece_model, toxicity_model
 
 
@@ -24,7 +24,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that spread over many sources; n_chars follows the text."""
-    cleaned = lines.clean(docs)
+    cleaned = lines.clean(docs, removed=free_name(docs, "__removed"))
     columns = [F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return cleaned.select(*columns)
 

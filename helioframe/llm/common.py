@@ -49,6 +49,14 @@ def numbered_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, made longer until no column of the table has it, whatever the case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def same_row(left: Column, right: Column) -> Column:
     """Equal, or both null."""
     return left.eqNullSafe(right)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import whole_text, written
+from helioframe.llm.common import free_name, whole_text, written
 
 SITES = 5
 MARGIN = 0.25
@@ -64,19 +64,20 @@ def removals(lines: DataFrame, spread: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
 
 
-def clean(docs: DataFrame, sites: int = SITES, site: str = "source") -> DataFrame:
-    """The rows of ``docs`` with all their columns, spread lines taken out of ``text``, and ``__removed``, their number."""
+def clean(docs: DataFrame, sites: int = SITES, site: str = "source", removed: str = "__removed") -> DataFrame:
+    """The rows of ``docs`` with all their columns, spread lines taken out of ``text``, and ``removed``, their number."""
+    key_name, gone_name = free_name(docs, "__key"), free_name(docs, "__gone")
     lines = line_table(docs, site)
     gone = removals(lines, spread_lines(lines, sites))
-    gone = gone.select(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_key").alias("__key"), F.col("gone").alias("__gone"))
+    gone = gone.select(F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_key").alias(key_name), F.col("gone").alias(gone_name))
     key = F.struct(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")), F.xxhash64(whole_text()))
-    rows = docs.withColumn("__key", key).join(gone, "__key", "left")
+    rows = docs.withColumn(key_name, key).join(gone, key_name, "left")
     parts = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone_name))
     text = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
-    new = F.when(F.col("__gone").isNotNull(), text).otherwise(F.col("text"))
+    new = F.when(F.col(gone_name).isNotNull(), text).otherwise(F.col("text"))
     columns = [new.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return rows.select(*columns, F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("__removed"))
+    return rows.select(*columns, F.coalesce(F.size(gone_name), F.lit(0)).cast("long").alias(removed))
 
 
 ORACLE_SQL = f"""

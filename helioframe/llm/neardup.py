@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import numbered_text, written
+from helioframe.llm.common import free_name, numbered_text, written
 from helioframe.llm.wordhash import mix, shingles, words
 
 WORDS = 5
@@ -279,8 +279,9 @@ def one_of_each(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame
     # Of equal ids the least text stays; of rows equal in both, any one.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
     kept = labelled.groupBy("class_digest").agg(first).select("first.doc_id", "first.digest")
+    helper = free_name(docs, "__kept")
     name = lambda doc_id: F.coalesce(doc_id.cast("string"), F.lit("null"))
     key = F.struct(name(F.col("doc_id").cast("long")), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
-    kept = kept.select(F.struct(name(F.col("doc_id")), "digest").alias("__kept"))
-    rows = docs.withColumn("__kept", key).join(kept, "__kept", "left_semi")
-    return rows.dropDuplicates(["__kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.select(F.struct(name(F.col("doc_id")), "digest").alias(helper))
+    rows = docs.withColumn(helper, key).join(kept, helper, "left_semi")
+    return rows.dropDuplicates([helper]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.llm import decontaminate, fingerprint, lines, neardup, pieces, pseudonyms, secrets, tokenfile, toxicity, urlfilter
-from helioframe.llm.common import new_folder
+from helioframe.llm.common import free_name, new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -99,9 +99,11 @@ def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = lines.clean(_table(spark, folder, "documents"))
+    docs = _table(spark, folder, "documents")
+    removed = free_name(docs, "__removed")
+    cleaned = lines.clean(docs, removed=removed)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return cleaned.select("doc_id", F.col("__removed").alias("n_removed"), digest.alias("cleaned_sha256"))
+    return cleaned.select("doc_id", F.col(removed).alias("n_removed"), digest.alias("cleaned_sha256"))
 
 
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

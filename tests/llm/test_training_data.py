@@ -338,6 +338,20 @@ def test_line_dedup_of_odd_rows(odd, empty):
     assert lines.clean(empty).count() == 0
 
 
+def test_columns_named_like_helpers_stay(spark):
+    docs = table(spark, [f"shared line\nown {k}" for k in range(6)] + ["own 1"], sources=[f"s{k}" for k in range(7)])
+    for name in ("__key", "__gone", "__kept", "__removed", "__KEY_"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), "doc_id"))
+    wanted = {k: "shared line\nown 0" if k == 0 else f"own {k}" for k in range(6)} | {6: "own 1"}
+    cleaned = corpus_pipeline.line_stage(spark, docs, "")
+    kept = neardup.one_of_each(cleaned)
+    assert cleaned.columns == kept.columns == docs.columns
+    for df, ids in ((cleaned, range(7)), (kept, range(6))):
+        found = {r["doc_id"]: r for r in df.collect()}
+        assert {k: r["text"] for k, r in found.items()} == {k: wanted[k] for k in ids}
+        assert all(r[c] == f"{c}{k}" for k, r in found.items() for c in docs.columns[5:])
+
+
 def test_fingerprints_of_edited_and_next_texts(spark, odd, empty):
     texts = [" ".join(prose(k % 9, 20 + k)) for k in range(60)] + [None, "", "short"]
     found = {r["doc_id"]: r for r in fingerprint.fingerprints(table(spark, texts).repartition(5)).collect()}
