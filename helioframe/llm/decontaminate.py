@@ -4,7 +4,8 @@ Texts and items are word sequences, and a passage matches an item of n words whe
 is at most ``floor(0.2 n)``. The CGK embedding walks along a sequence with hashed coin flips, staying or
 stepping on after each copied word, so sequences of small edit distance agree in most places of the output.
 Each of ``WALKS`` walks is sampled ``SAMPLES`` times at ``BITS`` places; a window that falls in the bucket of
-an item in any of them is compared with the item exactly.
+an item in any of them is compared with the item exactly. These samples lose matches as items get longer, so
+items of more than ``SAMPLED`` words are compared with all their windows.
 
 Windows have the size of an item and lie where the edit bound allows a match at all: with at most d edits in
 n words, some run of ``ceil((n - d) / (d + 1))`` words of the item stands unchanged in the passage, so each
@@ -32,6 +33,8 @@ from helioframe.llm.wordhash import mix, words
 
 EDITS = 0.2
 WALKS, SAMPLES, BITS = 8, 12, 3
+#: Items of more words than this are not sampled; each of their windows is compared exactly.
+SAMPLED = 59
 #: Items are sent to the tasks in blocks of about this many bytes of text.
 MOST_BYTES = 64 << 20
 _U = np.uint64
@@ -135,6 +138,8 @@ def prepare(ids: list, texts: list[str]) -> Items:
         sorted_runs[size] = (key[order], k[order], place[order])
     tables = {}
     for n, members in sized.items():
+        if n > SAMPLED:
+            continue
         keys = buckets(np.stack([hashes[k] for k in members]))
         flat, owner = keys.ravel(), np.repeat(np.array(members), keys.shape[1])
         order = np.argsort(flat, kind="stable")
@@ -151,7 +156,7 @@ def _matches(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _windows(items: Items, flat: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Number of words, text and start of each window in which a match may lie."""
+    """Number of words, text, start and item (-1: any that is sampled) of each window in which a match may lie."""
     found = []
     for size, (keys, item, place) in items.runs.items():
         here = grams(flat, size)
@@ -159,8 +164,8 @@ def _windows(items: Items, flat: np.ndarray, owner: np.ndarray) -> np.ndarray:
         at, run = _matches(keys, here[inside])
         at = inside[at]
         lengths = np.array([len(w) for w in items.words])[item[run]]
-        found.append(np.stack([lengths, owner[at], at - place[run]], axis=1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), dtype=np.int64)
+        found.append(np.stack([lengths, owner[at], at - place[run], np.where(lengths > SAMPLED, item[run], -1)], axis=1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), dtype=np.int64)
 
 
 def find(items: Items, flat: np.ndarray, begins: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -170,12 +175,16 @@ def find(items: Items, flat: np.ndarray, begins: np.ndarray) -> list[tuple[int,
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for n in np.unique(windows[:, 0]):
         same = windows[windows[:, 0] == n]
-        sorted_keys, item_of = items.buckets[int(n)]
-        for first in range(0, len(same), _BLOCK):
-            block = same[first : first + _BLOCK]
-            keys = buckets(_cut(flat, begins, block[:, 1], block[:, 2], int(n)))
-            at, hit = _matches(sorted_keys, keys.ravel())
-            pairs = np.unique(np.stack([item_of[hit], at // keys.shape[1]], axis=1), axis=0)
+        step = _BLOCK if n <= SAMPLED else max(1, _BLOCK * SAMPLED // int(n))
+        for first in range(0, len(same), step):
+            block = same[first : first + step]
+            if n <= SAMPLED:
+                sorted_keys, item_of = items.buckets[int(n)]
+                keys = buckets(_cut(flat, begins, block[:, 1], block[:, 2], int(n)))
+                at, hit = _matches(sorted_keys, keys.ravel())
+                pairs = np.unique(np.stack([item_of[hit], at // keys.shape[1]], axis=1), axis=0)
+            else:
+                pairs = np.stack([block[:, 3], np.arange(len(block))], axis=1)
             d = int(allowed(n))
             for k in np.unique(pairs[:, 0]):
                 rows = block[pairs[pairs[:, 0] == k, 1]]

@@ -120,6 +120,21 @@ def test_benchmark_matches_equal_brute_force(spark, odd, empty):
     assert decontaminate.hits(odd, decontaminate.load_items(benchmark.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("n", [60, 100, 200, 400])
+def test_long_benchmark_items_at_the_edit_limit_are_found(n):
+    items, texts = [], []
+    for k in range(12):
+        item, d = prose(500 + k, n, 10**6), n // 5
+        items.append(" ".join(item))
+        out = {n * j // d for j in range(d)}
+        other = [w for j, w in enumerate(item) if j not in out] if k % 2 else [f"sub{j}" if j in out else w for j, w in enumerate(item)]
+        texts.append(" ".join(prose(700 + k, 30, 10**6) + other + prose(800 + k, 30, 10**6)))
+    known, found = decontaminate.prepare(list(range(12)), items), set()
+    for first, _, flat, begins in decontaminate.words(pa.array(texts, type=pa.large_string())):
+        found |= {(first + text, k, edits) for text, k, edits, _ in decontaminate.find(known, flat, begins)}
+    assert len(found) == 12 and all(text == k and edits <= n // 5 for text, k, edits in found)
+
+
 def test_walks_of_close_sequences_agree():
     rng = np.random.default_rng(3)
     a = rng.integers(1, 2**60, size=(200, 40)).astype(np.uint64)
