@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.llm import decontaminate, fingerprint, lines, neardup, pieces, pseudonyms, secrets, tokenfile, toxicity, urlfilter
+from helioframe.llm import (
+    decontaminate,
+    fingerprint,
+    language,
+    lines,
+    neardup,
+    pieces,
+    pseudonyms,
+    ranked,
+    runs,
+    secrets,
+    tokenfile,
+    toxicity,
+    urlfilter,
+)
 from helioframe.llm.common import free_name, new_folder
 
 
@@ -125,6 +139,33 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(_table(spark, folder, "pages"), outcomes, RULES)
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = language.identify(docs, language.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("nearest").alias("lang_pred"), "score", "rejected")
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(runs.repeat_tail(_table(spark, folder, "documents")))
+    best = runs.strongest("runs")
+    listed = found.withColumn("best", best).withColumn("n_runs", F.size("runs").cast("long"))
+    return listed.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(runs.runs_text("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_benchmark": op2_benchmark,
@@ -136,5 +177,8 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_fingerprints": op9_fingerprints,
     "op10_urls": op10_urls,
+    "op11_language": op11_language,
+    "op12_runs": op12_runs,
+    "op13_search": op13_search,
 }
-ORACLES: dict[str, str] = {"op8_lines": lines.ORACLE_SQL, "op10_urls": urlfilter.oracle_sql(RULES)}
+ORACLES: dict[str, str] = {"op8_lines": lines.ORACLE_SQL, "op10_urls": urlfilter.oracle_sql(RULES), "op13_search": ranked.ORACLE_SQL}
