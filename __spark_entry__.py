@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import cached_property
 
@@ -22,7 +22,8 @@ from helioframe.plans.overview import plants_overview  # noqa: E402
 from helioframe.session import shared_dir  # noqa: E402
 from helioframe.sources import sinks  # noqa: E402
 from helioframe.sources import testdata as td  # noqa: E402
-from helioframe.sources.tables import read_table  # noqa: E402
+from helioframe.sources.files import temporary  # noqa: E402
+from helioframe.sources.versioned import Table  # noqa: E402
 from helioframe.specs import WEATHER_HORIZON  # noqa: E402
 from helioframe.sources.testdata import Telemetry  # noqa: E402
 
@@ -97,8 +98,10 @@ class Models:
         rest = events.state_changes(readings.filter(F.col("timestamp") > cut), events.last_known_states(first))
         return first, rest
 
-    def new_table(self) -> str:
-        return f"{shared_dir(self.spark)}/query-{uuid.uuid4().hex}"
+    def new_table(self, key: Sequence[str] = ()) -> Table:
+        """A table for this query's result, which is read later; it goes when the session ends."""
+        path = f"{shared_dir(self.spark)}/query-{uuid.uuid4().hex}"
+        return Table(self.spark, temporary(self.spark, path), bucket_by=key, buckets=2)
 
     def events_upserted(self) -> DataFrame:
         """The second run starts a day early, so part of its events replace stored ones by id."""
@@ -106,14 +109,14 @@ class Models:
         dims = (self.catalog, self.devices, self.plants)
         cut = self.half().local()
         early = Clock(self.half().as_of - timedelta(days=1)).local()
-        path = self.new_table()
+        table = self.new_table(["id"])
         first = events.enrich_events(events.state_changes(readings.filter(F.col("timestamp") <= cut)), *dims)
-        sinks.create_partitioned(sinks.with_day(first), path)
-        stored = read_table(self.spark, path)
-        known = events.last_known_states(stored.filter(F.col("timestamp") <= early))
+        table.create(sinks.with_day(first))
+        known = events.last_known_states(table.read().filter(F.col("timestamp") <= early))
         again = events.state_changes(readings.filter(F.col("timestamp") > early), known)
-        sinks.upsert(self.spark, sinks.with_day(events.enrich_events(again, *dims)), path, ["id"])
-        return read_table(self.spark, path).drop("date")
+        table.upsert(sinks.with_day(events.enrich_events(again, *dims)), ["id"])
+        sinks.discard(self.spark, readings)
+        return table.read().drop("date")
 
     def status_sources(self) -> dict[str, DataFrame]:
         return {kind: self.analog(kind) for kind in ("inverter", "logger", "meter", "relay", "weather_station")}
@@ -176,43 +179,50 @@ class Models:
             report_daily_energy=not corrected,
         )
 
-    def first_batch(self, kind: str) -> tuple[str, DataFrame]:
+    def first_batch(self, kind: str, key: Sequence[str] = ()) -> tuple[Table, DataFrame]:
         """A table with the staged readings of the first half of the arrivals, and all raw rows."""
-        path, raw = self.new_table(), self.raw(kind)
+        table, raw = self.new_table(key), self.raw(kind)
         first = staging.stage_analog(raw.filter(F.col("timestamp") <= self.half().instant()), kind)
-        sinks.create_partitioned(sinks.with_day(first), path)
-        return path, raw
+        table.create(sinks.with_day(first))
+        return table, raw
 
     def appended(self) -> DataFrame:
-        path, raw = self.first_batch("relay")
+        table, raw = self.first_batch("relay")
         rest = staging.stage_analog(incremental.incremental_filter(raw, self.half().as_of), "relay")
-        sinks.append(self.spark, sinks.with_day(rest), path)
-        return read_table(self.spark, path).drop("date")
+        table.append(sinks.with_day(rest))
+        return table.read().drop("date")
 
     def appended_local_watermark(self) -> DataFrame:
-        path, raw = self.first_batch("inverter")
-        done = incremental.watermark_of(read_table(self.spark, path))
+        table, raw = self.first_batch("inverter")
+        done = incremental.watermark_of(table.read())
         rest = staging.stage_analog(incremental.incremental_filter_local(raw, done), "inverter")
-        sinks.append(self.spark, sinks.with_day(rest), path)
-        return read_table(self.spark, path).drop("date")
+        table.append(sinks.with_day(rest))
+        return table.read().drop("date")
 
     def upserted(self) -> DataFrame:
-        path, raw = self.first_batch("meter")
+        table, raw = self.first_batch("meter", ["device_id", "timestamp"])
         rest = incremental.incremental_filter(raw, self.half().as_of, allowed_lateness="1 hour")
-        batch = sinks.with_day(staging.stage_analog(rest, "meter"))
-        sinks.upsert(self.spark, batch, path, ["device_id", "timestamp"])
-        return read_table(self.spark, path).drop("date")
+        table.upsert(sinks.with_day(staging.stage_analog(rest, "meter")), ["device_id", "timestamp"])
+        return table.read().drop("date")
+
+    def synced(self) -> DataFrame:
+        """A second load without one column and with another: stored rows keep their files and show NULL."""
+        table, raw = self.first_batch("relay", ["device_id", "timestamp"])
+        rest = staging.stage_analog(incremental.incremental_filter(raw, self.half().as_of), "relay")
+        changed = rest.drop("line_voltage_ca").withColumn("half_power", F.col("active_power") / 2)
+        table.upsert(sinks.with_day(changed), ["device_id", "timestamp"], on_schema_change="sync")
+        return table.read().drop("date")
 
     def energy_replaced(self, by_plant: bool) -> DataFrame:
         """Stored series with the days of the recompute window deleted and put in again."""
         compute = energy.plant_daily_energy if by_plant else energy.daily_energy
         keys = ["date", "power_plant_id"] if by_plant else ["date"]
-        path, analog = self.new_table(), sinks.materialize(self.spark, self.analog("inverter"))
+        table, analog = self.new_table(), sinks.materialize(self.spark, self.analog("inverter"))
         yesterday = Clock(self.clock.as_of - timedelta(days=1)).local()
-        sinks.create_partitioned(compute(analog.filter(F.col("timestamp") <= yesterday)), path)
-        batch = compute(energy.energy_window(analog, self.clock))
-        sinks.upsert(self.spark, batch, path, keys)
-        return read_table(self.spark, path)
+        table.create(compute(analog.filter(F.col("timestamp") <= yesterday)))
+        table.upsert(compute(energy.energy_window(analog, self.clock)), keys)
+        sinks.discard(self.spark, analog)
+        return table.read()
 
     def grid_values(self) -> DataFrame:
         def extracted(kind: str) -> DataFrame:
@@ -285,6 +295,7 @@ _QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "delete_insert_plant_days": lambda m: m.energy_replaced(by_plant=True),
     "keyed_upsert": Models.upserted,
     "event_upsert": Models.events_upserted,
+    "synced_columns": Models.synced,
     "retention_filter": lambda m: incremental.retain(m.analog("inverter"), m.clock, td.HORIZON),
     "month_to_date": lambda m: incremental.month_to_date(m.raw("weather_station"), m.data.second_clock()),
     "horizon_filter": lambda m: incremental.within_horizon(

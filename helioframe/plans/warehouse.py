@@ -18,7 +18,7 @@ from helioframe.operators.availability import availability
 from helioframe.operators.dedup import newest_per
 from helioframe.operators.energy import daily_energy, energy_window, plant_daily_energy
 from helioframe.operators.events import discrete_union, enrich_events, state_changes
-from helioframe.operators.incremental import incremental_filter, sync_columns, watermark_of, within_horizon
+from helioframe.operators.incremental import incremental_filter, watermark_of, within_horizon
 from helioframe.operators.latest import latest_readings, latest_readings_long, merge_latest
 from helioframe.operators.quality import declared_checks
 from helioframe.operators.staging import latest_string_currents, stage_analog, stage_discrete
@@ -28,7 +28,9 @@ from helioframe.schemas import RAW
 from helioframe.session import ensure_utc
 from helioframe.sources import sinks
 from helioframe.sources.control import Positions
+from helioframe.sources.files import child_folders
 from helioframe.sources.tables import read_table, table_exists
+from helioframe.sources.versioned import Table, day_of
 from helioframe.specs import (
     ANALOG_FIELDS,
     COMMUNICATION_WINDOW,
@@ -77,6 +79,11 @@ class Limits:
     # Events of this long before the newest reading are worked out again, so readings that come late
     # by no more than this still change them.
     allowed_lateness: str = "1 hour"
+    # Folders that the rows of a day are dealt into by the hash of their key: a changed row has one of them written
+    # anew. A fitting number is the size of a day over a quarter of a gigabyte.
+    buckets: int = 2
+    # Seconds for which files that were replaced stay, for readers that still run.
+    keep_replaced: float = 86400.0
 
 
 @dataclass
@@ -97,6 +104,10 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name))
 
+    def stored(self, name: str, key: Sequence[str] = (), partition: str | None = DAY) -> Table:
+        """The table to write to; every write of it is published in one step."""
+        return Table(self.spark, self.path(name), partition, key, self.limits.buckets)
+
     def has(self, name: str) -> bool:
         return table_exists(self.spark, self.path(name))
 
@@ -140,9 +151,10 @@ class Warehouse:
     def _store(
         self, name: str, rows: DataFrame, full: bool, on_change: Callable[[DataFrame], None] | None = None
     ) -> list[date]:
+        table = self.stored(name, READING_KEY)
         if not full:
-            return sinks.upsert(self.spark, rows, self.path(name), READING_KEY, on_change=on_change)
-        sinks.create_partitioned(rows, self.path(name))
+            return table.upsert(rows, READING_KEY, on_change=on_change)
+        table.create(rows)
         return []
 
     def _note_late(self, changed: DataFrame) -> None:
@@ -164,7 +176,7 @@ class Warehouse:
             newest = latest_readings(self.staged(kind), kind)
         else:
             newest = merge_latest(self.table(name), latest_readings(stage_analog(raw, kind), kind))
-        sinks.refresh(self.spark, newest, self.path(name))
+        self.stored(name, partition=None).create(newest)
 
     def load(self, kind: str, clock: Clock, full: bool = False) -> list[date]:
         """Stage the raw rows that arrived since the last load, up to the clock.
@@ -244,7 +256,7 @@ class Warehouse:
             if known is not None:
                 states = states.unionByName(known, allowMissingColumns=True)
             kept = newest_per(states, ["power_plant_id", *STATE_KEY], _newest_event())
-            kept.write.mode("overwrite").parquet(self._states_path(settle))
+            Table(self.spark, self._states_path(settle), None).create(kept)
             self.positions.write("settled_events", settle)
             if settled is not None and settle != settled:
                 sinks.delete_path(self.spark, self._states_path(settled))
@@ -271,23 +283,15 @@ class Warehouse:
         return None if settled is None else read_table(self.spark, self._states_path(settled))
 
     def _replace_events(self, fresh: DataFrame, settled: datetime | None) -> None:
-        path = self.path("int_events_alarms")
+        table = self.stored("int_events_alarms", ["id"])
         if settled is None:
-            sinks.create_partitioned(fresh, path)
+            table.create(fresh)
             return
-        stored = self.table("int_events_alarms")
-        if set(stored.columns) != set(fresh.columns):
-            # A new or removed column: bring every stored row into the new form once.
-            sinks.replace_partitions(self.spark, sync_columns(stored, fresh), path, check=False)
-            stored = self.table("int_events_alarms")
+        # A new or removed column is taken over without touching stored rows.
+        table.evolve(fresh.schema)
         first_day = settled.date()
-        kept = stored.filter((F.col(DAY) == F.lit(first_day)) & (F.col("timestamp") <= naive_timestamp(settled)))
-        rows = sinks.materialize(self.spark, kept.unionByName(fresh).select(*fresh.columns))
-        days = {str(row[0]) for row in rows.select(DAY).distinct().collect()}
-        sinks.replace_partitions(self.spark, rows, path)
-        gone = [d for d in sinks.partition_values(self.spark, path) if d >= str(first_day) and d not in days]
-        sinks.drop_partitions(self.spark, path, gone)
-        sinks.discard(self.spark, rows)
+        kept = table.read().filter((F.col(DAY) == F.lit(first_day)) & (F.col("timestamp") <= naive_timestamp(settled)))
+        table.replace(kept.unionByName(fresh), gone=lambda value: (day_of(value) or first_day) >= first_day)
 
     # Intermediate tables and the overview
 
@@ -299,9 +303,9 @@ class Warehouse:
             ("int_inverter_power_plant_daily_energy_timeseries", plant_daily_energy, ["date", "power_plant_id"]),
         ):
             if full or not self.has(name):
-                sinks.create_partitioned(compute(analog), self.path(name))
+                self.stored(name).create(compute(analog))
             else:
-                sinks.upsert(self.spark, compute(energy_window(analog, clock, also=days)), self.path(name), keys)
+                self.stored(name).upsert(compute(energy_window(analog, clock, also=days)), keys)
 
     def refresh_availability(self, clock: Clock) -> None:
         for kind, staged in (("inverter", "analogic"), ("relay", "discrete"), ("tracker", "discrete")):
@@ -314,11 +318,11 @@ class Warehouse:
                 lookback=self.limits.lookback,
                 stale_after=self.limits.stale_after,
             )
-            sinks.refresh(self.spark, share, self.path(f"int_{kind}_availability"))
+            self.stored(f"int_{kind}_availability", partition=None).create(share)
 
     def refresh_logger_latest(self, clock: Clock) -> None:
         newest = latest_readings(self.staged("logger"), "logger", clock, self.limits.lookback)
-        sinks.refresh(self.spark, newest, self.path("int_logger_latest_readings"))
+        self.stored("int_logger_latest_readings", partition=None).create(newest)
 
     def inverter_latest(self, clock: Clock) -> DataFrame:
         return latest_readings_long(self.staged("inverter"), clock, self.limits.lookback)
@@ -350,7 +354,7 @@ class Warehouse:
         self.refresh_energy(clock, full, days)
         self.refresh_availability(clock)
         self.refresh_logger_latest(clock)
-        sinks.refresh(self.spark, self.overview(clock), self.path("mart_power_plants_overview"))
+        self.stored("mart_power_plants_overview", partition=None).create(self.overview(clock))
 
     def register_views(self, clock: Clock) -> None:
         """The tables that are always computed when read."""
@@ -388,4 +392,7 @@ class Warehouse:
                 sinks.drop_expired(self.spark, self.path(name), clock, self.limits.retention)
                 sinks.compact(self.spark, self.path(name), clock, days=compact_days)
         self.positions.compact()
+        for name in child_folders(self.spark, self.root):
+            if Table.is_at(self.spark, self.path(name)):
+                Table(self.spark, self.path(name)).vacuum(self.limits.keep_replaced)
 

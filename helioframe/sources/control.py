@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import naive_timestamp
-from helioframe.sources.tables import table_exists
+from helioframe.sources.versioned import Table
 
 
 class Positions:
@@ -23,9 +23,10 @@ class Positions:
         self.path = path
 
     def read(self, name: str) -> datetime | None:
-        if not table_exists(self.spark, self.path):
+        table = Table(self.spark, self.path, None)
+        if not table.exists():
             return None
-        rows = self.spark.read.parquet(self.path).filter(F.col("name") == name)
+        rows = table.read().filter(F.col("name") == name)
         # The newest record counts, not the highest position: a full refresh may go back.
         newest = rows.agg(F.max_by("position", "recorded_at")).first()
         return newest[0]
@@ -36,15 +37,11 @@ class Positions:
             naive_timestamp(position).alias("position"),
             F.current_timestamp().alias("recorded_at"),
         )
-        row.write.mode("append").parquet(self.path)
+        Table(self.spark, self.path, None).append(row)
 
     def compact(self) -> None:
         """Keep only the newest record of each name."""
-        if not table_exists(self.spark, self.path):
-            return
-        rows = self.spark.read.parquet(self.path).groupBy("name").agg(
-            F.max_by("position", "recorded_at").alias("position"), F.max("recorded_at").alias("recorded_at")
-        )
-        kept = [tuple(row) for row in rows.collect()]  # one row per table of the warehouse
-        frame = self.spark.createDataFrame(kept, "name string, position timestamp_ntz, recorded_at timestamp")
-        frame.coalesce(1).write.mode("overwrite").parquet(self.path)
+        table = Table(self.spark, self.path, None)
+        if table.exists():
+            newest = F.max_by("position", "recorded_at").alias("position")
+            table.create(table.read().groupBy("name").agg(newest, F.max("recorded_at").alias("recorded_at")))

@@ -3,22 +3,24 @@
 Day-partitioned tables have a ``date`` column that follows from the key of their rows. Partitions are
 replaced with Spark's dynamic partition overwrite, which stages the new files first and removes the
 old ones when the job commits, so a task that is retried after a lost executor still finds its input.
+A driver that dies inside that commit can lose a day: the warehouse keeps its tables in
+``helioframe.sources.versioned``, and the functions here serve plain folders other programs read, such as exports
+and the sinks of a stream. Compaction, retention and reading take either kind.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import DAY, Clock, interval
 from helioframe.operators.incremental import check_schema, merge_by_key, sync_columns
-from helioframe.session import shared_dir
+from helioframe.sources.files import child_folders, delete_path, discard, materialize
 from helioframe.sources.tables import read_table, table_exists
+from helioframe.sources.versioned import Table, changed_rows
 from helioframe.specs import COMPACT_AFTER, RETENTION
 
 
@@ -26,35 +28,11 @@ def with_day(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df if DAY in df.columns else df.withColumn(DAY, F.to_date(column))
 
 
-def _path(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def delete_path(spark: SparkSession, path: str) -> bool:
-    files, folder = _path(spark, path)
-    return files.delete(folder, True)
-
-
 def partition_values(spark: SparkSession, path: str, partition: str = DAY) -> list[str]:
     """Values of the partition folders of a stored table."""
-    files, folder = _path(spark, path)
-    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
-    return sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{partition}="))
-
-
-def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The frame as a table written to the cluster's shared folder, so that it is computed once."""
-    path = f"{shared_dir(spark)}/batch-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(spark: SparkSession, df: DataFrame) -> None:
-    """Remove the files of a materialized frame."""
-    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        if "/batch-" in path:
-            delete_path(spark, path)
+    if Table.is_at(spark, path):
+        return Table(spark, path).partitions()
+    return sorted(name.split("=", 1)[1] for name in child_folders(spark, path) if name.startswith(f"{partition}="))
 
 
 def _clustered(df: DataFrame, partition: str) -> DataFrame:
@@ -117,15 +95,6 @@ def _values(df: DataFrame, partition: str) -> list:
     return [row[0] for row in df.select(partition).distinct().collect()]
 
 
-def changed_rows(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows that the table does not hold in the very same form; only keys and a hash are shuffled."""
-    # The hash of a row passes over NULLs, so where they stand is hashed with it.
-    row = F.xxhash64(*batch.columns, F.array(*(F.col(c).isNull() for c in batch.columns)))
-    held = stored.select(*(F.col(k).alias(f"__held_{k}") for k in keys), row.alias("__held_row"))
-    same = [F.col(k).eqNullSafe(F.col(f"__held_{k}")) for k in keys] + [F.col("__row") == F.col("__held_row")]
-    return batch.withColumn("__row", row).join(held, reduce(Column.__and__, same), "left_anti").drop("__row")
-
-
 def upsert(
     spark: SparkSession,
     batch: DataFrame,
@@ -193,7 +162,9 @@ def compact(
         for value in partition_values(spark, path, partition)
         if 0 < (end - _date(value)).days <= days
     ]
-    if due:
+    if due and Table.is_at(spark, path):
+        Table(spark, path).compact(due)
+    elif due:
         old = read_table(spark, path).filter(F.col(partition).isin([_date(value) for value in due]))
         _write(old, path, partition, "overwrite")
     return due
@@ -210,6 +181,8 @@ def drop_expired(
 
 
 def drop_partitions(spark: SparkSession, path: str, values: Sequence[str], partition: str = DAY) -> None:
+    if Table.is_at(spark, path):
+        return Table(spark, path).drop_partitions(values)
     for value in values:
         delete_path(spark, f"{path}/{partition}={value}")
 

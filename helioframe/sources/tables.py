@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from helioframe.schemas import RAW
 from helioframe.session import ensure_utc
+from helioframe.sources.versioned import Table
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -58,12 +59,14 @@ def read_reference(spark: SparkSession, path: str, schema: StructType, fmt: str
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table; day-partitioned ones have their ``date`` column."""
-    return spark.read.parquet(path)
+    """A stored table of either kind; day-partitioned ones have their ``date`` column."""
+    return Table(spark, path).read() if Table.is_at(spark, path) else spark.read.parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table with data files is there, on any file system the cluster can reach."""
+    if Table.is_at(spark, path):
+        return bool(Table(spark, path).leaves())
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())

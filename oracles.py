@@ -381,6 +381,8 @@ def _bodies() -> dict[str, str]:
         "energy_window": f"SELECT * FROM portfolio_days WHERE date >= {since_days}",
         "keyed_upsert": "SELECT * FROM stg_meter",
         "event_upsert": "SELECT * FROM ev",
+        "synced_columns": f"""SELECT * EXCLUDE (line_voltage_ca, arrived), CASE WHEN arrived > {half} THEN active_power / 2 END AS half_power FROM (
+            {_stage('relay', 'raw_relay').replace('* EXCLUDE (arrived)', '*')})""",
         "retention_filter": f"SELECT * FROM stg_inverter WHERE timestamp >= (SELECT local_now - {_interval(td.HORIZON)} FROM clock)",
         "month_to_date": f"SELECT timestamp, power_plant_id, device_id, json_data FROM raw_weather_station WHERE timestamp >= date_trunc('month', {_SECOND})",
         "horizon_filter": f"SELECT timestamp, power_plant_id, device_id FROM raw_weather_station WHERE timestamp >= {_SECOND} - {_interval(td.HORIZON)}",
