@@ -8,8 +8,9 @@ A fingerprint is the length, the two hashes of the whole text, and the ``KEPT``
 spans of ``SPAN`` code points (a text shorter than that is one span). The likeness of two fingerprints is the
 share of the least ``KEPT`` of both that stand in both: an estimate of the Jaccard similarity of the span sets.
 
-Neighbours in the order of the ids come from one range shuffle; inside a partition each row carries the one
-before it, and a partition's last row meets the first of the next by a join.
+Neighbours in the order of the ids come from one shuffle into ranges of ids, bounded by approximate quantiles; an id that
+fills several ranges is divided by the hash of the text. The first text of each range, from one aggregation, is sent to
+the range before it as its last row, so every row meets the one after it in its own task and nothing is stored.
 
 Defined results: a null text counts as empty; two empty texts have likeness 1, an empty and another text 0;
 a single document is its own next; rows of equal ids come in the order of a hash of their text; repeated rows
@@ -22,11 +23,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import numbered_text, written
+from helioframe.llm.common import numbered_text
 from helioframe.llm.wordhash import mix
 
 PRIMES = (2147483647, 2147483629)
@@ -87,12 +89,14 @@ class PrefixHash:
         return lo
 
     def spans(self) -> np.ndarray:
-        """Mixed hashes of all spans of ``SPAN`` code points."""
+        """Mixed hashes of all spans of ``SPAN`` code points, from both primes."""
         n, size = max(self.size - SPAN + 1, min(self.size, 1)), min(SPAN, self.size)
-        sums, p = self.sums[0], PRIMES[0]
-        down = _powers(0, self.size + 1)[1]
-        found = (sums[size : size + n] - sums[:n]) % p * down[:n] % p
-        return mix(found.astype(np.uint64) + np.uint64(size << 40))
+        both = np.full(n, size, dtype=np.uint64)
+        for which, p in enumerate(PRIMES):
+            sums, down = self.sums[which], _powers(which, self.size + 1)[1]
+            found = (sums[size : size + n] - sums[:n]) % p * down[:n] % p
+            both = both * np.uint64(1 << 31) + found.astype(np.uint64)
+        return mix(both)
 
     def whole(self) -> str:
         return f"{self.size:x}-" + "".join(f"{h:08x}" for h in self.span(0, self.size))
@@ -115,7 +119,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprint(hashes: PrefixHash, kept: np.ndarray) -> str:
-    return hashes.whole() + "-" + "".join(f"{int(h):016x}" for h in kept)
+    return hashes.whole() + "-" + kept.astype(">u8").tobytes().hex()
 
 
 def edited(codes: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -124,8 +128,11 @@ def edited(codes: np.ndarray, following: np.ndarray) -> np.ndarray:
     return np.concatenate([codes[: len(codes) - half], following[:half]])
 
 
-_RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_start"]
-_RESULT_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, same_start long"
+#: Ranges of ids for each shuffle partition.
+RANGES = 4
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_start"]
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, same_start long"
 
 
 class _Text:
@@ -155,41 +162,46 @@ def _compared(one: _Text, following: _Text) -> tuple:
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of all rows of a partition but the last, and the texts at both its ends."""
-    last: _Text | None = None
-    pid = None
-
-    def out(rows: list[tuple], ends: list[tuple]) -> pa.RecordBatch:
-        table = [(*r, None, None, None) for r in rows] + [(doc, *[None] * 7, pid, end, text) for end, doc, text in ends]
-        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*table), _WALK_TYPES)], names=[*_RESULT, "pid", "end", "text"])
-
+    """Results of all rows of the ranges; the last row of a range is the first text of the next and has none."""
+    before: _Text | None = None
     for batch in batches:
-        rows, ends = [], []
-        for doc_id, text, at in zip(*(c.to_pylist() for c in batch.columns[:3])):
+        rows = []
+        for doc_id, text, last in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "text", "last"))):
             here = _Text(doc_id, text)
-            if last is None:
-                pid = at
-                ends.append(("first", doc_id, text))
-            else:
-                rows.append(_compared(last, here))
-            last = here
+            if before is not None:
+                rows.append(_compared(before, here))
+            before = None if last else here
             if len(rows) >= 256:
-                yield out(rows, ends)
-                rows, ends = [], []
-        if rows or ends:
-            yield out(rows, ends)
-    if last is not None:
-        yield out([], [("last", last.doc_id, last.text)])
-
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
 
-_WALK_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.string(), pa.string()]
 
+def id_ranges(bounds: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bounds, descending, the ranges before each one's own, and the ranges that its rows alone take.
 
-def _seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [_compared(_Text(d, a), _Text(None, b)) for d, a, b in zip(*(c.to_pylist() for c in batch.columns))]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), _WALK_TYPES)], names=_RESULT)
+    ``bounds`` are quantiles; one that comes r times is an id that fills r - 1 whole ranges and a part of two others.
+    """
+    values, times = np.unique(np.array(bounds, dtype=np.int64), return_counts=True)
+    values, times = values[::-1], times[::-1]
+    own = np.where(times > 1, times, 0)
+    # Rows above a bound share a range with no other bound's; then come the rows of the bound itself.
+    return values, np.arange(1, len(values) + 1) + np.cumsum(own) - own, own
+
+
+def range_of(ids: np.ndarray, none: np.ndarray, places: np.ndarray, ranges: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The number of the range of each row, rising in the order of falling id, then place; null ids come last."""
+    values, first, own = ranges
+    if not len(values):
+        return none.astype(np.int64)
+    above = len(values) - np.searchsorted(values[::-1], ids, side="right")  # bounds greater than the id
+    at = np.minimum(above, len(values) - 1)
+    hot = (values[at] == ids) & (own[at] > 0)
+    share = (places.astype(np.float64) / 2.0**64 + 0.5) * own[at]
+    inside = first[at] + np.minimum(share.astype(np.int64), own[at] - 1)
+    plain = np.where(above == 0, 0, first[above - 1] + own[above - 1])
+    return np.where(none, first[-1] + own[-1] + 1, np.where(hot, inside, plain))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -199,15 +211,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     longest common prefix with the next row's text.
     """
     rows = numbered_text(docs).withColumn("place", F.xxhash64("text"))
-    rows = rows.repartitionByRange(F.desc_nulls_last("doc_id"), "place").sortWithinPartitions(F.desc_nulls_last("doc_id"), "place")
-    walked = rows.select("doc_id", "text", F.spark_partition_id().alias("pid"))
-    walked = written(walked.mapInArrow(_walk, _RESULT_SCHEMA + ", pid int, end string, text string"), "walked")
-    inner = walked.filter("end IS NULL").select(*_RESULT)
-    ends = walked.filter("end IS NOT NULL").select("doc_id", "pid", "end", "text")
-    # One row for each partition that holds any.
-    firsts = ends.filter("end = 'first'").select("pid", F.col("text").alias("following"))
-    order = firsts.select("pid").withColumn("next", F.lead("pid").over(Window.orderBy("pid")))
-    order = order.withColumn("next", F.coalesce("next", F.min("pid").over(Window.partitionBy())))
-    lasts = ends.filter("end = 'last'").join(order, "pid").join(firsts.withColumnRenamed("pid", "next"), "next")
-    seams = lasts.select("doc_id", "text", "following").mapInArrow(_seams, _RESULT_SCHEMA)
-    return inner.unionByName(seams)
+    many = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.agg(F.percentile_approx("doc_id", [k / many for k in range(1, many)], 10 * many)).first()[0]
+    ranges = id_ranges(found or [])  # one number a range
+
+    @F.pandas_udf("long")
+    def numbered(ids: pd.Series, places: pd.Series) -> pd.Series:
+        none = ids.isna().to_numpy()
+        return pd.Series(range_of(ids.fillna(0).to_numpy().astype(np.int64), none, places.to_numpy(), ranges))
+
+    # Null ids reach the function as a number and a mark of their own, so that large ids are never rounded.
+    known = F.coalesce("doc_id", F.lit(0))
+    last_range = F.lit(int(ranges[1][-1] + ranges[2][-1] + 1) if len(ranges[0]) else 1)
+    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), last_range).otherwise(numbered(known, "place")))
+    order = F.struct(F.bitwise_not("doc_id").alias("id"), "place")
+    heads = rows.groupBy("range").agg(F.min_by("text", F.struct(F.col("doc_id").isNull().alias("none"), order.alias("order"))).alias("text"))
+    follows = heads.select("range", F.lead("range").over(Window.orderBy("range")).alias("next"), F.min("range").over(Window.partitionBy()).alias("first"))
+    ends = follows.select(F.coalesce("next", "first").alias("range"), F.col("range").alias("before")).join(heads, "range")
+    ends = ends.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("place"), F.col("before").alias("range"), F.lit(True).alias("last"))
+    both = rows.withColumn("last", F.lit(False)).unionByName(ends)
+    both = both.repartition("range").sortWithinPartitions("range", "last", F.desc_nulls_last("doc_id"), "place")
+    return both.select("doc_id", "text", "last").mapInArrow(_walk, _SCHEMA)

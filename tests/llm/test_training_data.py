@@ -388,6 +388,51 @@ def test_fingerprints_of_edited_and_next_texts(spark, odd, empty):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
 
+def test_likeness_is_that_of_the_least_span_hashes(spark):
+    """Both likeness columns against spans hashed one by one."""
+    texts = [" ".join(prose(k // 3, 30 + k % 3)) for k in range(30)] + ["", "short", "x" * 200, "y" * 23]
+    found = {r["doc_id"]: r for r in fingerprint.fingerprints(table(spark, texts)).collect()}
+
+    def least(text):
+        codes, hashes = [ord(c) for c in text], set()
+        size = min(fingerprint.SPAN, len(codes))
+        for i in range(max(len(codes) - fingerprint.SPAN + 1, min(len(codes), 1))):
+            both = size
+            for p, base in zip(fingerprint.PRIMES, fingerprint.BASES):
+                both = both * 2**31 + sum((c + 1) * pow(base, j, p) for j, c in enumerate(codes[i : i + size])) % p
+            hashes.add(int(fingerprint.mix(np.array([both % 2**64], dtype=np.uint64))[0]))
+        return sorted(hashes)[: fingerprint.KEPT]
+
+    def likeness(a, b):
+        both = sorted({*a, *b})[: fingerprint.KEPT]
+        return sum(h in a and h in b for h in both) / len(both) if both else 1.0
+
+    order = sorted(range(len(texts)), reverse=True)
+    for place, k in enumerate(order):
+        text, following = texts[k], texts[order[(place + 1) % len(order)]]
+        changed = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        assert found[k]["near_edited"] == likeness(least(text), least(changed))
+        assert found[k]["near_next"] == likeness(least(text), least(following))
+
+
+def test_ranges_of_ids_keep_the_order(spark):
+    rng = random.Random(9)
+    ids = [rng.randrange(50) for _ in range(500)] + [7] * 700 + [-(2**63), 2**63 - 1]
+    places = [rng.randrange(-(2**63), 2**63) for _ in ids]
+    bounds = sorted(sorted(ids)[k * len(ids) // 40] for k in range(1, 40))
+    got = fingerprint.range_of(np.array(ids), np.zeros(len(ids), bool), np.array(places), fingerprint.id_ranges(bounds))
+    rows = sorted(zip(ids, places, got.tolist()), key=lambda r: (-r[0], r[1]))
+    assert [r[2] for r in rows] == sorted(got.tolist())
+    assert max(Counter(got.tolist()).values()) < 100
+    assert fingerprint.range_of(np.array([1]), np.array([False]), np.array([1]), fingerprint.id_ranges([])).tolist() == [0]
+    # A hot id, null ids and repeated rows, each with the row after it.
+    texts = [f"text {k % 300} of many" for k in range(900)]
+    docs = table(spark, texts, [5 if k % 2 else None if k % 10 == 0 else k for k in range(900)])
+    found = fingerprint.fingerprints(docs).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(r["doc_id"] for r in docs.collect())
+    assert sum(r["near_next"] == 1.0 for r in found) >= 150
+
+
 def test_prefix_hashes_answer_spans():
     rng = random.Random(6)
     text = "".join(rng.choice("ab") for _ in range(400)) * 2
