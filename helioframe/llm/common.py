@@ -32,13 +32,27 @@ def new_folder(spark: SparkSession, what: str) -> str:
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """The rows, written to the shared folder and read back: lineage ends here and lost executors cost nothing."""
+    """The rows, written to the shared folder and read back: lineage ends here and lost executors cost nothing.
+
+    The folder goes with ``discard``, at the latest when the session ends.
+    """
     spark = df.sparkSession
     path = new_folder(spark, what)
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def whole_text(column: str = "text") -> Column:
     """The text as a string; a null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -7,13 +7,16 @@ for texts with an empty coordinate, so every kept dart is the earliest of the wh
 agree in a coordinate with the probability of their weighted Jaccard similarity. ``BANDS`` bands of ``ROWS``
 coordinates find a pair of similarity 0.8 with probability over 0.99999.
 
-Equal texts are folded first. In each bucket texts are compared with the bucket's least and greatest text,
-and links count when the exact similarity is 0.8 or more. Buckets that still hold several classes are compared
-again between one text of each class, in another order, until a round adds few links. Then every pair of texts
-of different classes that share a bucket is verified unless a bound rules it out: the weights of two texts of
-similarity 0.8 differ by a fifth at most, and in any common order of the shingles such texts share one among
-their first ``floor(weight / 5) + 1`` (prefix filter), from which on both have as much as they must have in common. The order is by rising number of texts, so what a family
-of texts has in common comes last. Classes are the connected components of the links, found by star contraction.
+Equal texts are folded first. In each bucket texts are compared with its centre, the member that shares most buckets
+with others, so a family meets in one text whatever its number of buckets; links count when the exact similarity is
+0.8 or more. Then every pair of texts of different classes whose signatures agree in ``AGREE`` of
+``SIZE`` coordinates is verified (two texts of similarity 0.8 do in all but 1 of 10,000 cases), unless a bound rules it
+out: the weights of two texts of similarity 0.8 differ by a fifth at most, and in any common order of the shingles
+such texts share one among their first ``floor(weight / 5) + 1`` (prefix filter), from which on both have as much as they
+must have in common. The order is by rising number of texts, so what a family of texts has in common comes last. While
+these pairs outnumber the texts, buckets are first compared again between one text of each class, in a salted order.
+Classes are the connected components of the links, found by star contraction. ``n_links`` counts the verified links
+that joined a text to its class; pairs inside a class that no step compared are not among them.
 
 Defined results: null and empty texts are equal texts and so one class; texts without words are alike only
 when equal; texts of fewer than five words have one shingle; repeated rows and ids each get a row; ``class_id``
@@ -31,15 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import free_name, numbered_text, written
+from helioframe.llm.common import discard, free_name, numbered_text, written
 from helioframe.llm.wordhash import mix, shingles, words
 
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
-#: Rounds of single comparisons end when one adds less than this share of the links; all other pairs come after.
-_FEW = 0.05
+#: At similarity 0.8 the number of equal coordinates has the mean 128 and the standard deviation 5.06.
+AGREE = 108
+#: Pairs are verified in slices of so many, so that the shingles of few texts are held at once.
+_SLICE = 128
 #: Texts of a shingle are paired in blocks of about this many on each side.
 _SIDE = 1000
 _DARTS = SIZE * (np.log(SIZE) + 2)
@@ -105,11 +110,11 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, hashes, begins in words(batch.column(2)):
             grams, cuts = shingles(hashes, begins, WORDS)
-            keys = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                keys.append(band_keys(signature(strips(*weights(grams[a:b])))) if b > a else None)
+            darts = [signature(strips(*weights(grams[a:b]))) if b > a else None for a, b in zip(cuts[:-1], cuts[1:])]
+            keys = pa.array([None if d is None else band_keys(d) for d in darts], type=pa.list_(pa.int64()))
+            marks = pa.array([None if d is None else d.astype(np.uint8).view(np.int8) for d in darts], type=pa.list_(pa.int8()))
             part = batch.slice(first, last - first)
-            yield pa.record_batch([part.column(0), part.column(1), pa.array(keys, type=pa.list_(pa.int64()))], names=["doc_id", "digest", "bands"])
+            yield pa.record_batch([part.column(0), part.column(1), keys, marks], names=["doc_id", "digest", "bands", "marks"])
 
 
 def _digested(docs: DataFrame) -> DataFrame:
@@ -125,7 +130,7 @@ def similarity(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
         sides = []
         for column in (2, 3):
             out = []
@@ -147,30 +152,59 @@ def _pairs(members: DataFrame, salt: int) -> DataFrame:
     return both.select(F.least("digest", "end").alias("a"), F.greatest("digest", "end").alias("b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node and root, the least node it is connected to, for all nodes of ``links(a, b)``."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+def _centre_pairs(members: DataFrame) -> DataFrame:
+    """Each bucket's other members with its centre: the member with the greatest sum of the sizes of its buckets."""
+    weighed = members.groupBy("digest").agg(F.sum("size").alias("shared"))
+    ranked = members.join(weighed, "digest")
+    centres = ranked.groupBy("bucket").agg(F.max_by("digest", F.struct("shared", "digest")).alias("centre"))
+    both = members.join(centres, "bucket").filter("digest != centre")
+    return both.select(F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")).distinct()
+
+
+def _agreeing(left: str, right: str):
+    """How many coordinates of two signatures are equal, by a byte of each."""
+    equal = F.zip_with(left, right, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(equal, F.lit(0), lambda total, one: total + one)
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points to one root and no root points on."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.filter((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
 
-    def weight(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    before = weight(edges)
-    while before[0]:
+def components(links: DataFrame) -> DataFrame:
+    """node and root, the least node it is connected to, for all nodes of ``links(a, b)`` that are not roots."""
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(large.distinct(), "edges")
+        old, edges = edges, written(large.distinct(), "edges")
+        discard(old)
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         small = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "edges")
-        after = weight(edges)
-        if after == before:
-            break
-        before = after
+        old, edges = edges, written(small, "edges")
+        discard(old)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node and root after more links: only the classes they join are worked on."""
+    if roots is None:
+        return components(links)
+    end = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    named = links.join(end("a"), "a", "left").join(end("b"), "b", "left")
+    named = named.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).filter("a != b")
+    more = components(named)
+    onward = more.select(F.col("node").alias("root"), F.col("root").alias("onward"))
+    moved = roots.join(onward, "root", "left").select("node", F.coalesce("onward", "root").alias("root"))
+    return written(moved.unionByName(more), "roots")
+
+
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, hashes, begins in words(batch.column(2)):
@@ -185,7 +219,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _other_pairs(members: DataFrame, roots: DataFrame, whole: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes that may be alike; holds all those that share a bucket."""
+    """Pairs (a, b) of different classes that share a bucket and may be alike by their signatures and bounds."""
     named = members.join(roots, F.col("digest") == F.col("node"), "left").select("bucket", "digest", F.coalesce("root", "digest").alias("root"))
     mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("bucket")
     left = written(named.join(mixed, "bucket").select("digest", "root").distinct(), "left")
@@ -199,22 +233,24 @@ def _other_pairs(members: DataFrame, roots: DataFrame, whole: DataFrame) -> Data
     place = F.col("weight") - F.sum("many").over(each) + before
     prefix = units.join(shared, "element").withColumn("place", place)
     prefix = prefix.filter(F.col("place") < F.floor(F.col("weight") * (1 - SIMILAR) + 1e-6) + 1)
-    prefix = written(prefix.select("element", "text", "root", "weight", (F.col("weight") - F.col("place")).alias("rest")), "prefix")
+    old, prefix = units, written(prefix.select("element", "text", "root", "weight", (F.col("weight") - F.col("place")).alias("rest")), "prefix")
+    discard(old)
     # No pairs inside the largest class of a shingle are made; both sides go in blocks.
     sizes = prefix.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("element").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("big"))
     sizes = sizes.filter("all > most").select(
         "element", "big", F.ceil((F.col("all") - F.col("most")) / _SIDE).cast("int").alias("p"), F.ceil(F.col("all") / _SIDE).cast("int").alias("q")
     )
-    sided = prefix.join(sizes, "element")
+    sided = prefix.join(sizes, "element").join(whole.select(F.unhex("digest").alias("text"), "marks"), "text")
     block = lambda n: F.pmod(F.xxhash64("text"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = sided.filter("root != big").select("element", block("p").alias("i"), every("q").alias("j"), F.col("text").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"), F.col("rest").alias("ea"))
-    two = sided.select("element", every("p").alias("i"), block("q").alias("j"), F.col("text").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"), F.col("rest").alias("eb"))
+    one = sided.filter("root != big").select("element", block("p").alias("i"), every("q").alias("j"), F.col("text").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"), F.col("rest").alias("ea"), F.col("marks").alias("ma"))
+    two = sided.select("element", every("p").alias("i"), block("q").alias("j"), F.col("text").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"), F.col("rest").alias("eb"), F.col("marks").alias("mb"))
     pairs = one.join(two, ["element", "i", "j"]).filter(F.col("ra") != F.col("rb"))
     pairs = pairs.filter(F.least("wa", "wb") >= F.greatest("wa", "wb") * SIMILAR - 1e-6)
     # All that two texts have in common stands from their first common shingle on.
     pairs = pairs.filter(F.least("ea", "eb") >= (F.col("wa") + F.col("wb")) * (SIMILAR / (1 + SIMILAR)) - 1e-6)
+    pairs = pairs.filter(_agreeing("ma", "mb") >= AGREE)
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b"))
 
@@ -226,25 +262,28 @@ def _alike(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return written(checked.mapInArrow(_verify, "a string, b string, alike boolean").filter("alike").select("a", "b"), "links")
 
 
-def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts (digest, doc_id, bands) and the verified links (a, b) between their digests."""
-    sketched = _digested(docs).mapInArrow(_sketches, "doc_id long, digest string, bands array<bigint>")
-    texts = sketched.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct texts (digest, doc_id, bands), the verified links (a, b) between their digests, and node and root of each that has one."""
+    sketched = _digested(docs).mapInArrow(_sketches, "doc_id long, digest string, bands array<bigint>, marks array<tinyint>")
+    texts = sketched.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     texts = written(texts, "texts")
     members = texts.select("digest", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").count().filter("count > 1").select("bucket")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(members.join(shared, "bucket"), "members")
-    involved = texts.join(members.select("digest").distinct(), "digest", "left_semi").select("digest", F.col("doc_id").alias("first_id"))
+    involved = texts.join(members.select("digest").distinct(), "digest", "left_semi").select("digest", F.col("doc_id").alias("first_id"), "marks")
     whole = _digested(docs).join(involved, "digest").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    whole = written(whole.select("digest", "text").dropDuplicates(["digest"]), "whole")
-    pairs = written(_pairs(members, 1), "pairs")
+    whole = written(whole.select("digest", "text", "marks").dropDuplicates(["digest"]), "whole")
+    pairs = written(_centre_pairs(members), "pairs")
     tried = pairs
     links = found = _alike(pairs, whole)
-    number, total, salt = found.count(), 0, 1
-    while number > _FEW * total:
-        total += number
+    roots, salt, many = components(links), 1, whole.count()
+    while True:
+        others = written(_other_pairs(members, roots, whole).join(tried, ["a", "b"], "left_anti"), "pairs")
+        # As many pairs as texts are soon verified; of more, most may lie in classes that one more round would join.
+        if found.isEmpty() or others.count() <= many:
+            break
+        discard(others)
         salt += 1
-        roots = components(links)
         # One member of each class in each bucket, another one each round.
         named = members.join(roots, F.col("digest") == F.col("node"), "left")
         named = named.select("bucket", "digest", F.coalesce("root", "digest").alias("root"))
@@ -252,18 +291,19 @@ def text_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = written(_pairs(one, salt).join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         found = _alike(pairs, whole)
-        number = found.count()
-        links = links.unionByName(found)
-    others = written(_other_pairs(members, components(links), whole).join(tried, ["a", "b"], "left_anti"), "pairs")
-    return texts, links.unionByName(_alike(others, whole))
+        roots, links = _joined(roots, found), links.unionByName(found)
+    found = _alike(others, whole)
+    roots, links = _joined(roots, found), links.unionByName(found)
+    discard(members, whole, tried, others)
+    return texts, links, roots
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links (verified links of its text), digest and class_digest of every row of ``docs``."""
-    texts, links = text_links(docs)
+    texts, links, roots = text_links(docs)
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = ends.groupBy(F.col("a").alias("digest")).agg(F.count(F.lit(1)).alias("n_links"))
-    roots = components(links).withColumnRenamed("node", "digest")
+    roots = roots.withColumnRenamed("node", "digest")
     labelled = texts.select("digest", "doc_id").join(roots, "digest", "left")
     labelled = labelled.select("digest", "doc_id", F.coalesce("root", "digest").alias("class_digest"))
     least = labelled.groupBy("class_digest").agg(F.min("doc_id").alias("class_id"))
