@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from helioframe.functions.clock import Clock  # noqa: E402
 from helioframe.functions.gridvalue import grid_value, payload_struct  # noqa: E402
 from helioframe.operators import adhoc, energy, events, incremental, latest, performance, quality, staging, status  # noqa: E402
-from helioframe.operators.availability import availability  # noqa: E402
+from helioframe.operators.availability import availability, device_staleness  # noqa: E402
 from helioframe.plans.overview import plants_overview  # noqa: E402
 from helioframe.session import shared_dir  # noqa: E402
 from helioframe.sources import sinks  # noqa: E402
@@ -149,6 +149,24 @@ class Models:
         heard = status.recent_communication(self.inverter_long(), self.clock, td.WINDOW)
         return status.operating_status(self.plants, status.alarm_status(self.events()), heard)
 
+    def acknowledgements(self) -> DataFrame:
+        """Marks of the operators: two events in three are acknowledged by a user an hour after they happened."""
+        marked = self.events().filter("device_id % 3 <> 0").select("id", "device_id", "timestamp")
+        by = F.concat(F.lit("user"), (F.col("device_id") % 7).cast("string")).alias("acknowledged_by")
+        return marked.select("id", by, (F.col("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("acknowledged_at"))
+
+    def acknowledged_events(self) -> DataFrame:
+        return events.with_acknowledgements(self.events(), self.acknowledgements())
+
+    def operating_status_acknowledged(self) -> DataFrame:
+        heard = status.recent_communication(self.inverter_long(), self.clock, td.WINDOW)
+        return status.operating_status(self.plants, status.alarm_status(self.acknowledged_events()), heard)
+
+    def staleness(self) -> DataFrame:
+        kind = "inverter"
+        limits = {"lookback": td.LOOKBACK, "stale_after": td.STALE_AFTER}
+        return device_staleness(self.devices, self.plants, self.analog(kind), kind, self.clock, **limits)
+
     def energy_now(self) -> DataFrame:
         return energy.plant_energy_now(self.analog("inverter"), self.clock, td.LOOKBACK)
 
@@ -283,6 +301,9 @@ _QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "alarm_status": lambda m: status.alarm_status(m.events()),
     "plant_comm_status": lambda m: status.recent_communication(m.inverter_long(), m.clock, td.WINDOW),
     "operating_status": Models.operating_status,
+    "events_acknowledged": Models.acknowledged_events,
+    "operating_status_acknowledged": Models.operating_status_acknowledged,
+    "device_staleness": Models.staleness,
     "active_power_by_plant": lambda m: performance.active_power_by_plant(m.inverter_long()),
     "plant_energy_now": Models.energy_now,
     "daily_irradiation": Models.irradiation,

@@ -42,6 +42,24 @@ def registered_devices(devices: DataFrame, plants: DataFrame, kind: str) -> Data
     return ours.join(active_plants, "power_plant_id")
 
 
+def device_staleness(
+    devices: DataFrame,
+    plants: DataFrame,
+    readings: DataFrame,
+    kind: str,
+    clock: Clock,
+    *,
+    lookback: str = READING_LOOKBACK,
+    stale_after: str = STALE_AFTER,
+) -> DataFrame:
+    """Each registered device as fresh, stale (heard inside the look-back, but not lately) or absent."""
+    newest = newest_reading(readings.select("device_id", "power_plant_id", "timestamp"), clock, lookback)
+    heard = newest.select("device_id", F.col("timestamp").alias("last_reading"))
+    ours = registered_devices(devices, plants, kind).select(F.col("id").alias("device_id"), "power_plant_id")
+    state = F.when(F.col("last_reading").isNull(), "absent").when(F.col("last_reading") > clock.local() - interval(stale_after), "fresh")
+    return ours.join(heard, "device_id", "left").select("device_id", "power_plant_id", "last_reading", state.otherwise("stale").alias("state"))
+
+
 def availability(
     devices: DataFrame,
     plants: DataFrame,

@@ -24,6 +24,8 @@ def build_session(app: str = "helioframe", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": UTC,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # State of streams lies on the executors' disks, not in their heaps.
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         # Looking up the caller's line for every column expression slows the building of wide plans.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
