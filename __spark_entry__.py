@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from helioframe.functions.clock import Clock  # noqa: E402
 from helioframe.functions.gridvalue import grid_value, payload_struct  # noqa: E402
+from helioframe.functions.sqlfunctions import register  # noqa: E402
 from helioframe.operators import adhoc, energy, events, incremental, latest, performance, quality, staging, status  # noqa: E402
 from helioframe.operators.availability import availability, device_staleness  # noqa: E402
 from helioframe.plans.overview import plants_overview  # noqa: E402
@@ -150,8 +151,8 @@ class Models:
         return status.operating_status(self.plants, status.alarm_status(self.events()), heard)
 
     def acknowledgements(self) -> DataFrame:
-        """Marks of the operators: two events in three are acknowledged by a user an hour after they happened."""
-        marked = self.events().filter("device_id % 3 <> 0").select("id", "device_id", "timestamp")
+        """Marks of the operators: two plants in three acknowledge every event an hour after it happened."""
+        marked = self.events().filter("power_plant_id % 3 <> 0").select("id", "device_id", "timestamp")
         by = F.concat(F.lit("user"), (F.col("device_id") % 7).cast("string")).alias("acknowledged_by")
         return marked.select("id", by, (F.col("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("acknowledged_at"))
 
@@ -262,6 +263,35 @@ class Models:
             first = first.unionByName(other)
         return first
 
+    def _raw_view(self, kind: str) -> str:
+        """A view of raw rows, and the functions, for queries in SQL."""
+        register(self.spark)
+        name = f"raw_{kind}_{uuid.uuid4().hex}"
+        self.raw(kind).createOrReplaceTempView(name)
+        return name
+
+    def grid_values_in_sql(self) -> DataFrame:
+        """The fields of ``grid_value_extract`` as a SQL user takes them out.
+
+        Each device type has its own SELECT: Spark 4.1 fails on several SQL functions above one UNION.
+        """
+        return self.spark.sql(" UNION ALL ".join(f"""
+            SELECT timestamp, device_id,
+                   extract_grid_value(json_data, 'active_power') AS as_float,
+                   extract_grid_decimal(json_data, 'cumulative_active_energy') AS as_decimal,
+                   extract_grid_integer(json_data, 'state_simplified') AS as_integer,
+                   extract_grid_bigint(json_data, 'state_operation') AS as_bigint,
+                   extract_grid_value(json_data, 'frequency') AS frequency,
+                   extract_grid_text(json_data, 'active_power') AS as_text
+            FROM {self._raw_view(kind)}""" for kind in td.KINDS))
+
+    def code_counts_in_sql(self) -> DataFrame:
+        """How often each field of the relay payloads has each on/off text."""
+        return self.spark.sql(f"""
+            SELECT p.field, p.value, count(*) AS readings
+            FROM {self._raw_view("relay")} r, LATERAL grid_value_pairs(r.json_data) p
+            WHERE p.value IN ('0', '1', 'true', 'false') GROUP BY p.field, p.value""")
+
     def rejected(self) -> DataFrame:
         first, *others = (self.discrete(kind) for kind in ("inverter", "relay", "tracker"))
         for other in others:
@@ -280,6 +310,8 @@ class Models:
 
 _QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "grid_value_extract": Models.grid_values,
+    "grid_value_sql": Models.grid_values_in_sql,
+    "code_counts_sql": Models.code_counts_in_sql,
     **{f"stg_{name}_analog": (lambda m, kind=kind: m.analog(kind)) for name, kind in _WIDE.items()},
     "stg_inverter_analog_corrected": lambda m: m.analog_corrected("inverter"),
     "stg_weather_analog_corrected": lambda m: m.analog_corrected("weather_station"),

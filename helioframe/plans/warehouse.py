@@ -17,7 +17,7 @@ from helioframe.functions.clock import DAY, Clock, between, interval, naive_time
 from helioframe.operators.availability import availability
 from helioframe.operators.dedup import newest_per
 from helioframe.operators.energy import daily_energy, energy_window, plant_daily_energy
-from helioframe.operators.events import discrete_union, enrich_events, state_changes
+from helioframe.operators.events import discrete_union, enrich_events, state_changes, with_acknowledgements
 from helioframe.operators.incremental import incremental_filter, watermark_of, within_horizon
 from helioframe.operators.latest import latest_readings, latest_readings_long, merge_latest
 from helioframe.operators.quality import declared_checks
@@ -64,6 +64,8 @@ class Inputs:
     devices: DataFrame
     plants: DataFrame
     catalog: DataFrame
+    # Marks of the operators: id of an event, acknowledged_by, acknowledged_at.
+    acknowledgements: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -265,12 +267,17 @@ class Warehouse:
             sinks.discard(self.spark, known)
 
     def current_events(self) -> DataFrame:
-        """Enough events to tell every current alarm state: the kept ones and those after them."""
+        """Enough events to tell every current alarm state: the kept ones and those after them, with their marks."""
         settled = self.positions.read("settled_events")
         if settled is None:
-            return self.events().drop(DAY)
+            return self.marked(self.events().drop(DAY))
         recent = between(self.events(), naive_timestamp(settled)).drop(DAY)
-        return self._states(settled).unionByName(recent, allowMissingColumns=True)
+        return self.marked(self._states(settled).unionByName(recent, allowMissingColumns=True))
+
+    def marked(self, events: DataFrame) -> DataFrame:
+        """Events with what operators have acknowledged by now; marks are joined when read, so stored events stay as they are."""
+        marks = self.inputs.acknowledgements
+        return events if marks is None else with_acknowledgements(events, marks)
 
     def _earlier(self, moment: datetime) -> datetime:
         bound = naive_timestamp(moment) - interval(self.limits.allowed_lateness)
@@ -361,6 +368,7 @@ class Warehouse:
         sinks.create_view(self.inverter_latest(clock), "int_inverter_latest_readings")
         sinks.create_view(self.status(clock), "int_power_plant_status")
         sinks.create_view(self.string_currents(), "stg_inverter_string_data")
+        sinks.create_view(self.marked(self.events()), "int_events_alarms_acknowledged")
 
     def run(self, clock: Clock, full: bool = False) -> None:
         """Bring every stored table up to the clock."""

@@ -257,6 +257,18 @@ def _fixture() -> list[tuple[str, str]]:
             WHERE type = 'alarm' AND severity = 'high' GROUP BY 1""",
         ),
         ("heard", f"SELECT power_plant_id, max(timestamp) AS last_communication FROM inv_long WHERE timestamp > {_WINDOW} GROUP BY 1"),
+        (
+            "ev_marked",
+            """SELECT * REPLACE (power_plant_id % 3 <> 0 AS acknowledged,
+                CASE WHEN power_plant_id % 3 <> 0 THEN 'user' || CAST(device_id % 7 AS VARCHAR) END AS acknowledged_by,
+                CASE WHEN power_plant_id % 3 <> 0 THEN timestamp + INTERVAL 1 HOUR END AS acknowledged_at) FROM ev""",
+        ),
+        (
+            "alarms_marked",
+            """SELECT power_plant_id, bool_or(NOT acknowledged) AS has_unacknowledged_alarm FROM (
+            SELECT DISTINCT ON (power_plant_id, device_id, code) * FROM ev_marked ORDER BY power_plant_id, device_id, code, timestamp DESC)
+            WHERE type = 'alarm' AND severity = 'high' GROUP BY 1""",
+        ),
         (
             "operating_status",
             """SELECT p.id AS power_plant_id, CASE WHEN h.last_communication IS NULL THEN 'no_communication'
@@ -315,6 +327,11 @@ def _bodies() -> dict[str, str]:
     since_days = "(SELECT CAST(as_of AS DATE) - INTERVAL 3 DAYS FROM clock)"
     bodies = {
         "grid_value_extract": grid,
+        "grid_value_sql": grid,
+        "code_counts_sql": """SELECT field, value, count(*) AS readings FROM (
+            SELECT field, json_extract_string(json_data, '$."' || field || '"') AS value
+            FROM (SELECT json_data, unnest(json_keys(json_data)) AS field FROM raw_relay))
+            WHERE value IN ('0', '1', 'true', 'false') GROUP BY 1, 2""",
         **{f"stg_{name}_analog": f"SELECT * FROM stg_{kind}" for name, kind in _NAMES.items()},
         "stg_inverter_analog_corrected": "SELECT * FROM stg_inverter_month",
         "stg_weather_analog_corrected": "SELECT * FROM stg_weather_station_month",
@@ -362,6 +379,16 @@ def _bodies() -> dict[str, str]:
         "alarm_status": "SELECT * FROM alarms",
         "plant_comm_status": "SELECT * FROM heard",
         "operating_status": "SELECT * FROM operating_status",
+        "events_acknowledged": "SELECT * FROM ev_marked",
+        "operating_status_acknowledged": """SELECT p.id AS power_plant_id, CASE WHEN h.last_communication IS NULL THEN 'no_communication'
+            WHEN a.has_unacknowledged_alarm THEN 'critical' WHEN a.power_plant_id IS NOT NULL THEN 'acknowledged' ELSE 'generating' END AS power_plant_status
+            FROM tb_power_plants p LEFT JOIN alarms_marked a ON a.power_plant_id = p.id LEFT JOIN heard h ON h.power_plant_id = p.id
+            WHERE p.is_active""",
+        "device_staleness": f"""SELECT d.id AS device_id, d.power_plant_id, r.last_reading, CASE WHEN r.last_reading IS NULL THEN 'absent'
+            WHEN r.last_reading > {_STALE} THEN 'fresh' ELSE 'stale' END AS state
+            FROM tb_devices d JOIN tb_power_plants p ON p.id = d.power_plant_id AND p.is_active
+            LEFT JOIN (SELECT device_id, max(timestamp) AS last_reading FROM stg_inverter WHERE timestamp > {_LOOKBACK} GROUP BY 1) r ON r.device_id = d.id
+            WHERE d.is_active AND d.device_type_id = {DEVICE_TYPES['inverter']}""",
         "active_power_by_plant": "SELECT * FROM active_power",
         "plant_energy_now": _energy_now("stg_inverter"),
         "daily_irradiation": _irradiation("stg_weather_station"),

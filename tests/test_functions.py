@@ -95,3 +95,23 @@ def test_event_id(spark):
         event_id(F.col("d"), F.col("t"), F.col("c"))
     )
     assert row.first()[0] == 515036840010582735
+
+
+def test_sql_functions_give_what_the_column_form_gives(spark):
+    from helioframe.functions.gridvalue import extract_grid_value
+    from helioframe.functions.sqlfunctions import PAIRS, TARGETS, register
+
+    names = register(spark)
+    assert names == [name for name, _, _ in TARGETS] + [PAIRS]
+    texts = ["60.07@2025-12-11T13:50:14Z", "60.07", "-", "", "512.5", "abc", "1d", " 7 ", "99999999999"]
+    rows = [(k, f'{{"v":"{text}","n":{k}}}') for k, text in enumerate(texts)] + [(90, None), (91, "no json"), (92, "{}"), (93, '{"v":null}')]
+    payloads = spark.createDataFrame(rows, "id int, json_data string")
+    payloads.createOrReplaceTempView("payloads")
+    for name, target, _ in TARGETS:
+        got = spark.sql(f"SELECT id, {name}(json_data, 'v') AS x FROM payloads ORDER BY id")
+        wanted = payloads.select("id", extract_grid_value("json_data", "v", target).alias("x")).orderBy("id")
+        assert got.collect() == wanted.collect(), name
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    pairs = spark.sql(f"SELECT p.id, g.* FROM payloads p, LATERAL {PAIRS}(p.json_data) g WHERE p.id IN (0, 92, 93) ORDER BY 1, 2 DESC")
+    assert [tuple(r) for r in pairs.collect()] == [(0, "v", texts[0]), (0, "n", "0"), (93, "v", None)]

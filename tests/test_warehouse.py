@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from helioframe.functions.clock import Clock
-from helioframe.operators.status import alarm_status
+from helioframe.operators.status import alarm_status, current_alarm_states
 from helioframe.plans.warehouse import Inputs, Limits, Warehouse
 from helioframe.sources import sinks
 from helioframe.sources import testdata as td
@@ -102,6 +102,43 @@ def test_views_and_maintenance(spark, inputs, full):
     assert full.table("stg_logger_analogic_data").agg(F.min("timestamp")).first()[0] >= datetime(2024, 1, 20)
 
 
+def test_acknowledged_alarms_reach_the_overview(spark, inputs, full):
+    data, given = inputs
+    high = alarm_events(full)
+    some = high.select("id", F.lit("ana").alias("acknowledged_by"), F.col("timestamp").alias("acknowledged_at"))
+    # A second, older mark of the same event does not count.
+    again = some.withColumns({"acknowledged_by": F.lit("old"), "acknowledged_at": F.col("acknowledged_at") - F.expr("INTERVAL 1 DAY")})
+    marks = some.unionByName(again)
+    before = overview_states(full, data)
+    critical = {plant for plant, state in before.items() if state == "critical"}
+    assert critical
+    others = {plant: state for plant, state in before.items() if plant not in critical}
+
+    def states(marked):
+        given_marks = Inputs(given.raw, given.devices, given.plants, given.catalog, marked)
+        return overview_states(Warehouse(spark, full.root, given_marks, LIMITS), data)
+
+    assert states(marks) == others | {plant: "acknowledged" for plant in critical}
+    # One open alarm of a plant keeps it critical.
+    open_one = high.agg(F.min_by("id", F.struct(~F.col("power_plant_id").isin(*critical), "id"))).first()[0]
+    plant = high.filter(F.col("id") == open_one).first()["power_plant_id"]
+    expected = others | {p: "critical" if p == plant else "acknowledged" for p in critical}
+    assert states(marks.filter(F.col("id") != open_one)) == expected
+    marked = Warehouse(spark, full.root, Inputs(given.raw, given.devices, given.plants, given.catalog, marks), LIMITS)
+    assert {r[0] for r in marked.current_events().filter("acknowledged").select("acknowledged_by").distinct().collect()} == {"ana"}
+
+
+def alarm_events(warehouse):
+    """The events that are the current state of a high alarm."""
+    newest = current_alarm_states(warehouse.current_events()).select("power_plant_id", "device_id", "code", "timestamp")
+    events = warehouse.current_events().filter("type = 'alarm' AND severity = 'high'")
+    return events.join(newest, ["power_plant_id", "device_id", "code", "timestamp"], "left_semi")
+
+
+def overview_states(warehouse, data):
+    return {r["power_plant_id"]: r["power_plant_status"] for r in warehouse.overview(data.clock()).collect()}
+
+
 def test_a_plant_with_inverters_only(spark, inputs, tmp_path):
     data, given = inputs
     only = Inputs({"inverter": given.raw["inverter"]}, given.devices, given.plants, given.catalog)
