@@ -124,7 +124,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     chosen = marks.withColumn("place", F.xxhash64(F.lit(17), "doc_id")).orderBy("place", "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return chosen.join(texts, "doc_id").orderBy("place", "doc_id", "text").limit(rows).select("text", "label")
+    # At most ``rows`` rows of an id, a label and a place, so the texts of all other documents stay where they are.
+    return texts.join(F.broadcast(chosen), "doc_id").orderBy("place", "doc_id", "text").limit(rows).select("text", "label")
 
 
 def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
