@@ -112,7 +112,11 @@ def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
     Random are the values of the base findings, and digests of the texts in the two alphabets that keys are
     written in; ordinary are the other tokens of the same texts.
     """
-    sample = numbered_text(docs).orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id", "text").limit(texts)
+    rows, place = numbered_text(docs), F.xxhash64(F.lit(29), "doc_id")
+    # Ids are chosen first, so that no more texts than the sample's are sorted; at most ``texts`` ids are sent to the tasks.
+    ids = rows.groupBy("doc_id").agg(F.lit(1).alias("one")).orderBy(place, "doc_id").limit(texts)
+    chosen = rows.join(F.broadcast(ids.select(F.col("doc_id").alias("chosen"))), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
+    sample = chosen.orderBy(place, "doc_id", "text").limit(texts)
     found = base_spans(sample)
     digests = F.array(
         F.sha2("text", 256),
