@@ -21,6 +21,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from helioframe.llm.common import numbered_text
 
 SPACE = "▁"
 GROUP = 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 LONG = 64
 _NONE = np.iinfo(np.int32).max
 
@@ -218,9 +219,8 @@ def encode(docs: DataFrame, path: str, end: bool = True) -> DataFrame:
         vocab = vocabulary(path)
         tail = np.array([vocab.end] if end else [], dtype=np.int32).tobytes()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _groups([len(t) for t in texts]):
-                found = [i + tail for i in vocab.encode(texts[a:b])]
+            for a, b in _groups(pc.utf8_length(batch.column(1)).to_pylist()):
+                found = [i + tail for i in vocab.encode(batch.column(1).slice(a, b - a).to_pylist())]
                 cuts = np.concatenate([[0], np.cumsum([len(i) // 4 for i in found])]).astype(np.int32)
                 flat = np.frombuffer(b"".join(found), dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))

@@ -77,16 +77,17 @@ def words(texts: pa.Array, lower: bool = True) -> Iterator[tuple[int, int, np.nd
     """
     if len(texts) == 0:
         return
-    if lower:
-        texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    data, places = _buffers(texts)
+    _, sizes = _buffers(texts)
     first = 0
     while first < len(texts):
-        last = int(np.searchsorted(places, places[first] + PIECE, side="right")) - 1
+        last = int(np.searchsorted(sizes, sizes[first] + PIECE, side="right")) - 1
         last = min(max(last, first + 1), len(texts))
-        lo, hi = int(places[first]), int(places[last])
-        if hi - lo <= PIECE:
-            begins = places[first : last + 1] - lo
+        # Only the texts of this run are lower-cased at once, so no copy of the whole array is held.
+        run = texts.slice(first, last - first)
+        data, places = _buffers(pc.utf8_lower(pc.fill_null(run.cast(pa.large_string()), "")) if lower else run)
+        lo, hi = int(places[0]), int(places[-1])
+        if last - first > 1 or hi - lo <= PIECE:
+            begins = places - lo
             starts, _, hashes = _piece_words(data[lo:hi], begins)
             yield first, last, hashes, np.searchsorted(starts, begins)
         else:
