@@ -67,7 +67,7 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def benchmark_items(spark: SparkSession, folder: str) -> list[decontaminate.Items]:
+def benchmark_items(spark: SparkSession, folder: str) -> decontaminate.ItemBlocks:
     return decontaminate.load_items(_table(spark, folder, "benchmark"))
 
 

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -109,7 +110,7 @@ def test_benchmark_matches_equal_brute_force(spark, odd, empty):
     assert set(found) <= set(wanted)
     assert len(found) >= 0.98 * len(wanted)
     assert sum(found[x] == wanted[x] for x in found) >= 0.98 * len(found)
-    blocks = decontaminate.load_items(benchmark, most_bytes=200)
+    blocks = decontaminate.load_items(benchmark, most_bytes=150_000)
     assert len(blocks) > 1
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.hits(table(spark, texts), blocks).collect()} == set(found)
     kept = decontaminate.reject_contaminated(table(spark, texts), blocks)
@@ -135,6 +136,35 @@ def test_long_benchmark_items_at_the_edit_limit_are_found(n):
     assert len(found) == 12 and all(text == k and edits <= n // 5 for text, k, edits in found)
 
 
+@pytest.mark.parametrize("n", [15, 20, 30, 40, 50, 59, 60, 100, 200])
+def test_matches_at_the_edit_limit_reach_the_target(n):
+    rng, d = random.Random(n), n // 5
+    items, texts = [], []
+    for k in range(100):
+        item, out = prose(5000 + k, n, 10**6), []
+        places = set(rng.sample(range(n), d)) if k % 4 == 3 else {n * j // d for j in range(d)}
+        for j, w in enumerate(item):
+            change = ["drop", "swap", "add", rng.choice(["drop", "swap", "add"])][k % 4] if j in places else "none"
+            out += {"drop": [], "swap": [f"sub{j}"], "add": [f"sub{j}", w], "none": [w]}[change]
+        items.append(" ".join(item))
+        texts.append(" ".join(prose(7000 + k, 30, 10**6) + out + prose(8000 + k, 30, 10**6)))
+    known, found = decontaminate.prepare(list(range(100)), items), set()
+    for first, _, flat, begins in decontaminate.words(pa.array(texts, type=pa.large_string())):
+        found |= {(first + text, k) for text, k, _, _ in decontaminate.find(known, flat, begins)}
+    assert all(text == k for text, k in found) and len(found) >= 97
+
+
+def test_texts_that_repeat_themselves_cost_their_distinct_windows():
+    items = ["word " * 50, "two words " * 25, "word"]
+    known, found = decontaminate.prepare([0, 1, 2], items), []
+    texts = ["word " * 200_000, "two words " * 100_000, "one two " * 5]
+    started = time.monotonic()
+    for first, _, flat, begins in decontaminate.words(pa.array(texts, type=pa.large_string())):
+        found += [(first + text, *rest) for text, *rest in decontaminate.find(known, flat, begins)]
+    assert sorted(found) == [(0, 0, 0, 50), (0, 2, 0, 1), (1, 1, 0, 50)]
+    assert time.monotonic() - started < 20
+
+
 def test_walks_of_close_sequences_agree():
     rng = np.random.default_rng(3)
     a = rng.integers(1, 2**60, size=(200, 40)).astype(np.uint64)
