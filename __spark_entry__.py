@@ -123,7 +123,10 @@ class Models:
         return {kind: self.analog(kind) for kind in ("inverter", "logger", "meter", "relay", "weather_station")}
 
     def plant_status(self) -> DataFrame:
-        return status.plant_status(self.status_sources(), self.events(), self.plants, self.clock, td.WINDOW)
+        """Only changes inside the window are worked out, from the states known before it."""
+        changes = events.state_changes_after(self.discrete_all(), status.window_start(self.clock, td.WINDOW))
+        happened = events.enrich_events(changes, self.catalog, self.devices, self.plants)
+        return status.plant_status(self.status_sources(), happened, self.plants, self.clock, td.WINDOW)
 
     def availability(self, kind: str) -> DataFrame:
         readings = self.analog(kind) if kind == "inverter" else self.discrete(kind)

@@ -47,6 +47,22 @@ class Clock:
         return F.to_date(self.local())
 
 
+@dataclass(frozen=True)
+class LiveClock(Clock):
+    """The current time of whoever reads: a view over it moves on, and day partitions are still pruned."""
+
+    as_of: datetime = datetime.max
+
+    def instant(self) -> Column:
+        return F.current_timestamp()
+
+    def utc(self) -> Column:
+        return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+
+    def fixed_local(self) -> Column:
+        return self.utc() - F.expr(f"INTERVAL {LOCAL_OFFSET_HOURS} HOURS")
+
+
 def interval(text: str) -> Column:
     return F.expr(f"INTERVAL {text}")
 

@@ -38,6 +38,16 @@ def payload_map(json_data: Column) -> Column:
     return F.from_json(json_data, PAYLOAD_MAP)
 
 
+def payload_typed(json_data: Column) -> Column:
+    """One parse of the payload that keeps every field with its JSON type."""
+    return F.from_json(json_data, "map<string,variant>")
+
+
+def typed_text(value: Column) -> Column:
+    """The text of a typed field; NULL for an object or a list."""
+    return F.try_variant_get(value, "$", "string")
+
+
 def grid_value_sql(value: str, cast_as: str = FLOAT) -> str:
     """SQL that converts the text of one payload field; unreadable text gives NULL.
 
@@ -80,4 +90,6 @@ __all__ = [
     "grid_value_sql",
     "payload_map",
     "payload_struct",
+    "payload_typed",
+    "typed_text",
 ]

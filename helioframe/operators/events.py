@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import between, naive_timestamp
@@ -69,6 +69,21 @@ def last_known_states(events: DataFrame) -> DataFrame:
     return newest.select(*_STATE_KEY, F.col("value").alias("last_value"))
 
 
+def states_before(discrete: DataFrame, moment: Column) -> DataFrame:
+    """Value of each device and code in its newest reading up to the moment.
+
+    An aggregate with partial maxima in every task, so of a long history one row per code is shuffled.
+    """
+    readings = explode_codes(discrete.filter(F.col("timestamp") <= moment))
+    newest = F.max_by("value", F.struct("timestamp", "value")).alias("last_value")
+    return readings.groupBy(*_STATE_KEY).agg(newest)
+
+
+def state_changes_after(discrete: DataFrame, moment: Column) -> DataFrame:
+    """The changes of state after the moment: those of ``state_changes`` without comparing the history before it."""
+    return state_changes(between(discrete, moment), states_before(discrete, moment))
+
+
 def state_changes(discrete: DataFrame, last_states: DataFrame | None = None) -> DataFrame:
     """Rows where a code takes another value than before, first occurrences included.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import between, naive_timestamp, payload_local
-from helioframe.functions.gridvalue import grid_value, grid_value_sql, payload_map, payload_struct
+from helioframe.functions.gridvalue import grid_value, grid_value_sql, payload_struct, payload_typed, typed_text
 from helioframe.operators.dedup import newest_per
 from helioframe.specs import (
     ANALOG_FIELDS,
@@ -82,15 +82,19 @@ def discrete_codes(payload: Column, rule: DiscreteRule) -> Column:
 
 
 def stage_discrete(raw: DataFrame, kind: str, rule: DiscreteRule | None = None) -> DataFrame:
-    """Discrete codes of one device type as a JSON object; new codes need no new columns."""
+    """Discrete codes of one device type as a JSON object; new codes need no new columns.
+
+    Values keep their JSON types: ``true`` stays a boolean, ``0`` a number and ``"1@x"`` a string. Numbers are
+    written without zeros at the end of a fraction (`1.50` is `1.5`, `188.0` is `188`).
+    """
     rule = rule or DISCRETE_RULES[kind]
     parsed = raw.select(
-        *_arrival_columns(), "power_plant_id", "device_id", payload_map(F.col("json_data")).alias("p")
+        *_arrival_columns(), "power_plant_id", "device_id", payload_typed(F.col("json_data")).alias("p")
     )
     codes = parsed.select(
         _ARRIVED,
         _TIE,
-        payload_local(F.col("p")["timestamp"]).alias("timestamp"),
+        payload_local(typed_text(F.col("p")["timestamp"])).alias("timestamp"),
         "power_plant_id",
         "device_id",
         F.to_json(discrete_codes(F.col("p"), rule)).alias("discrete_data_json"),
@@ -105,20 +109,24 @@ def unreadable_readings(raw: DataFrame) -> DataFrame:
     return raw.filter(payload_local(parsed["timestamp"]).isNull())
 
 
-def latest_string_currents(
-    raw: DataFrame, devices: DataFrame, valid_from: str, strings: int = STRINGS_PER_INVERTER
-) -> DataFrame:
-    """Newest record of each inverter, one row per string that reports a current."""
-    names = [f"string_{n}_current" for n in range(1, strings + 1)]
+def newest_records(raw: DataFrame, valid_from: str) -> DataFrame:
+    """Newest raw record of each device from the given time on whose payload names a time, unparsed otherwise."""
     recent = between(raw, naive_timestamp(valid_from).cast("timestamp"), closed_lower=True)
     present = recent.filter(payload_struct(F.col("json_data"), ["timestamp"])["timestamp"].isNotNull())
-    newest = newest_per(
+    return newest_per(
         present.select("timestamp", "power_plant_id", "device_id", "json_data"),
         ["device_id"],
         [F.desc("timestamp"), F.desc(F.xxhash64("json_data"))],
     )
+
+
+def latest_string_currents(
+    raw: DataFrame, devices: DataFrame, valid_from: str, strings: int = STRINGS_PER_INVERTER
+) -> DataFrame:
+    """Newest record of each inverter, one row per string that reports a current."""
+    names = [f"string_{n}_current" for n in range(1, strings + 1)]
     # Only the one winner per device is parsed in full.
-    parsed = newest.select(
+    parsed = newest_records(raw, valid_from).select(
         "power_plant_id",
         "device_id",
         payload_struct(F.col("json_data"), ["timestamp", "state_simplified", *names]).alias("p"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.functions.clock import Clock, between, interval
@@ -17,6 +17,11 @@ def active_plants(plants: DataFrame) -> DataFrame:
     return plants.filter("is_active")
 
 
+def window_start(clock: Clock, window: str = COMMUNICATION_WINDOW) -> Column:
+    """The time after which readings and events count for the status."""
+    return clock.fixed_local() - interval(window)
+
+
 def plant_status(
     analog_by_kind: Mapping[str, DataFrame],
     events: DataFrame,
@@ -25,7 +30,7 @@ def plant_status(
     window: str = COMMUNICATION_WINDOW,
 ) -> DataFrame:
     """Three-state status: a recent high alarm beats silence, silence beats normal operation."""
-    after = clock.fixed_local() - interval(window)
+    after = window_start(clock, window)
 
     def heard(kind: str, df: DataFrame) -> DataFrame:
         return between(df, after).select("power_plant_id", "timestamp", F.lit(kind).alias("device_type"))

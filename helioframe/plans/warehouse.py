@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioframe.functions.clock import DAY, Clock, between, interval, naive_timestamp
+from helioframe.functions.clock import DAY, Clock, LiveClock, between, interval, naive_timestamp
 from helioframe.operators.availability import availability
 from helioframe.operators.dedup import newest_per
 from helioframe.operators.energy import daily_energy, energy_window, plant_daily_energy
@@ -21,7 +21,7 @@ from helioframe.operators.events import discrete_union, enrich_events, state_cha
 from helioframe.operators.incremental import incremental_filter, watermark_of, within_horizon
 from helioframe.operators.latest import latest_readings, latest_readings_long, merge_latest
 from helioframe.operators.quality import declared_checks
-from helioframe.operators.staging import latest_string_currents, stage_analog, stage_discrete
+from helioframe.operators.staging import latest_string_currents, newest_records, stage_analog, stage_discrete
 from helioframe.operators.status import plant_status
 from helioframe.plans.overview import plants_overview
 from helioframe.schemas import RAW
@@ -44,6 +44,7 @@ from helioframe.specs import (
     WEATHER_HORIZON,
 )
 
+STRING_RECORDS = "int_inverter_newest_records"
 READING_KEY = ("device_id", "timestamp")
 STATE_KEY = ("device_id", "code")
 EVENT_KINDS = ("inverter", "relay")
@@ -99,6 +100,7 @@ class Warehouse:
         ensure_utc(self.spark)
         self.positions = Positions(self.spark, self.path("_positions"))
         self._reached: dict[str, datetime] = {}
+        self._views: Clock | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -148,6 +150,8 @@ class Warehouse:
             self._store(f"stg_{kind}_discrete_data", sinks.with_day(stage_discrete(raw, kind)), full, noted)
         if kind in HISTORY_LATEST:
             self._refresh_latest(kind, raw, full)
+        if kind == "inverter":
+            self._refresh_records(raw, full)
         return days
 
     def _store(
@@ -180,6 +184,16 @@ class Warehouse:
             newest = merge_latest(self.table(name), latest_readings(stage_analog(raw, kind), kind))
         self.stored(name, partition=None).create(newest)
 
+    def _refresh_records(self, raw: DataFrame, full: bool) -> None:
+        """Newest raw record of each inverter, merged load by load, so string currents never look through all records."""
+        newest = newest_records(raw, self.limits.valid_from)
+        if not full and self.has(STRING_RECORDS):
+            newest = newest_records(self.table(STRING_RECORDS).unionByName(newest), self.limits.valid_from)
+        elif not full and self.positions.read("raw_inverter") is not None:
+            # The warehouse is older than this table: what it has loaded before counts too.
+            newest = newest_records(self.inputs.raw["inverter"], self.limits.valid_from)
+        self.stored(STRING_RECORDS, partition=None).create(newest)
+
     def load(self, kind: str, clock: Clock, full: bool = False) -> list[date]:
         """Stage the raw rows that arrived since the last load, up to the clock.
 
@@ -339,7 +353,9 @@ class Warehouse:
         return plant_status(readings, self.events(), self.inputs.plants, clock, self.limits.window)
 
     def string_currents(self) -> DataFrame:
-        return latest_string_currents(self.inputs.raw["inverter"], self.inputs.devices, self.limits.valid_from)
+        """String currents of the newest loaded record of each inverter."""
+        records = self.table(STRING_RECORDS) if self.has(STRING_RECORDS) else self.inputs.raw["inverter"]
+        return latest_string_currents(records, self.inputs.devices, self.limits.valid_from)
 
     def overview(self, clock: Clock) -> DataFrame:
         return plants_overview(
@@ -363,8 +379,12 @@ class Warehouse:
         self.refresh_logger_latest(clock)
         self.stored("mart_power_plants_overview", partition=None).create(self.overview(clock))
 
-    def register_views(self, clock: Clock) -> None:
-        """The tables that are always computed when read."""
+    def register_views(self, clock: Clock | None = None) -> None:
+        """The tables that are always computed when read, at the reader's own time unless a clock is given.
+
+        A view reads the table versions of its registration; every later ``run`` of this warehouse registers it anew.
+        """
+        self._views = clock = clock or LiveClock()
         sinks.create_view(self.inverter_latest(clock), "int_inverter_latest_readings")
         sinks.create_view(self.status(clock), "int_power_plant_status")
         sinks.create_view(self.string_currents(), "stg_inverter_string_data")
@@ -375,6 +395,8 @@ class Warehouse:
         loaded = {kind: self.load(kind, clock, full) for kind in self.inputs.raw}
         self.refresh_derived(clock, full, loaded.get("inverter", []))
         self.commit()
+        if self._views is not None:
+            self.register_views(self._views)
 
     def checks(self, clock: Clock) -> DataFrame:
         """The declared checks over every stored table, the views and the inputs."""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from helioframe.functions.clock import LOCAL_OFFSET_HOURS, interval, payload_instant, payload_local
-from helioframe.functions.gridvalue import payload_map
+from helioframe.functions.gridvalue import payload_typed, typed_text
 from helioframe.operators.events import explode_codes
 from helioframe.operators.staging import discrete_codes, typed_readings
 from helioframe.specs import DEVICE_TYPES, DISCRETE_RULES, IDS, analog_columns
@@ -60,13 +60,13 @@ def stream_discrete(raw: DataFrame, kind: str, delay: str = "1 hour") -> DataFra
         F.xxhash64("json_data").alias("__payload_hash"),
         "power_plant_id",
         "device_id",
-        payload_map(F.col("json_data")).alias("p"),
+        payload_typed(F.col("json_data")).alias("p"),
     )
     text = F.to_json(discrete_codes(F.col("p"), DISCRETE_RULES[kind]))
     timed = parsed.select(
         "*",
-        payload_instant(F.col("p")["timestamp"]).alias(EVENT_TIME),
-        payload_local(F.col("p")["timestamp"]).alias("timestamp"),
+        payload_instant(typed_text(F.col("p")["timestamp"])).alias(EVENT_TIME),
+        payload_local(typed_text(F.col("p")["timestamp"])).alias("timestamp"),
         text.alias("discrete_data_json"),
     ).filter(F.col(EVENT_TIME).isNotNull())
     rows = _newest_copy(timed, [*IDS, "discrete_data_json"], ["__arrived_at", "__payload_hash"], delay)

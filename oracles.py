@@ -45,10 +45,11 @@ def _stage(kind: str, source: str) -> str:
 
 
 def _json_value() -> str:
-    # A JSON number comes back from Spark in its shortest form.
+    # Every value keeps its type; a JSON number comes back from Spark without zeros at the end of its fraction.
     raw = "json_extract_string(json_data, '$.\"' || key || '\"')"
     kind = "json_type(json_data, '$.\"' || key || '\"')"
-    return f"CASE WHEN {kind} = 'DOUBLE' THEN CAST(CAST({raw} AS DOUBLE) AS VARCHAR) ELSE {raw} END"
+    number = f"regexp_replace(CAST(CAST({raw} AS DOUBLE) AS VARCHAR), '[.]0$', '')"
+    return f"CASE {kind} WHEN 'DOUBLE' THEN {number} WHEN 'VARCHAR' THEN '\"' || {raw} || '\"' ELSE {raw} END"
 
 
 def _discrete(kind: str, source: str) -> str:
@@ -61,7 +62,7 @@ def _discrete(kind: str, source: str) -> str:
                d.discrete_data_json
         FROM {source} r LEFT JOIN (
             SELECT device_id, timestamp,
-                   '{{' || string_agg('"' || key || '":"' || {_json_value()} || '"', ',' ORDER BY place) || '}}' AS discrete_data_json
+                   '{{' || string_agg('"' || key || '":' || {_json_value()}, ',' ORDER BY place) || '}}' AS discrete_data_json
             FROM (SELECT device_id, timestamp, json_data, unnest(json_keys(json_data)) AS key,
                          generate_subscripts(json_keys(json_data), 1) AS place FROM {source})
             WHERE {wanted} GROUP BY device_id, timestamp) d

@@ -15,6 +15,7 @@ from helioframe.operators.events import (
     last_known_states,
     rejected_codes,
     state_changes,
+    state_changes_after,
     with_acknowledgements,
 )
 
@@ -111,3 +112,16 @@ def test_acknowledgements(spark):
         [(2, "ana", START), (2, "rui", START + timedelta(hours=1))], "id bigint, acknowledged_by string, acknowledged_at timestamp_ntz"
     )
     assert rows(with_acknowledgements(events, marks), "id", "acknowledged", "acknowledged_by") == [(1, False, None), (2, True, "rui")]
+
+
+def test_changes_after_a_moment_equal_those_of_the_whole_history(spark):
+    rng, readings = random.Random(11), []
+    for device in range(4):
+        for minute in range(0, 600, 7):
+            codes = {c: rng.choice(["0", "1", "true", "odd"]) for c in "abc" if rng.random() < 0.6}
+            readings.append((START + timedelta(minutes=minute), 1, device, 1, json.dumps(codes)))
+    df = spark.createDataFrame(readings, SCHEMA)
+    for minute in (-1, 0, 123, 301, 700):
+        moment = F.lit(START + timedelta(minutes=minute)).cast("timestamp_ntz")
+        whole = state_changes(df).filter(F.col("timestamp") > moment)
+        assert rows(state_changes_after(df, moment)) == rows(whole), minute

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from helioframe.functions.clock import Clock, payload_local, time_bucket, zone_to_instant
+from helioframe.functions.clock import Clock, LiveClock, payload_local, time_bucket, zone_to_instant
 from helioframe.functions.gridvalue import extract_grid_value, grid_value
 from helioframe.functions.text import event_id, round2, round2_sql
 
@@ -115,3 +115,15 @@ def test_sql_functions_give_what_the_column_form_gives(spark):
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     pairs = spark.sql(f"SELECT p.id, g.* FROM payloads p, LATERAL {PAIRS}(p.json_data) g WHERE p.id IN (0, 92, 93) ORDER BY 1, 2 DESC")
     assert [tuple(r) for r in pairs.collect()] == [(0, "v", texts[0]), (0, "n", "0"), (93, "v", None)]
+
+
+def test_a_view_over_the_live_clock_moves_on(spark):
+    live = LiveClock()
+    columns = [live.instant(), live.utc(), live.local(), live.fixed_local(), live.today()]
+    names = ["instant", "utc", "local", "fixed_local", "today"]
+    spark.range(1).select(*(c.alias(n) for c, n in zip(columns, names))).createOrReplaceTempView("live_times")
+    first = spark.table("live_times").first()
+    now = Clock(datetime.now(timezone.utc))
+    near = spark.range(1).select(now.utc().alias("utc"), now.local().alias("local"), now.fixed_local().alias("fixed_local")).first()
+    assert all(abs(near[n] - first[n]) < timedelta(minutes=2) for n in ("utc", "local", "fixed_local"))
+    assert spark.table("live_times").first()["utc"] > first["utc"]

@@ -66,11 +66,18 @@ def test_discrete_codes(spark):
     payload = {"timestamp": at(5), "2003": "1", "communication_failure": 0, "active_power": "1", "12a": "1", "str1": "0"}
     df = raw(spark, (4, 1, payload), (3, 2, {"timestamp": at(5), "frequency": 1}))
     codes = rows(stage_discrete(df, "inverter"), "device_id", "discrete_data_json")
-    assert [(d, json.loads(j)) for d, j in codes] == [(1, {"2003": "1", "communication_failure": "0"})]
+    assert [(d, json.loads(j)) for d, j in codes] == [(1, {"2003": "1", "communication_failure": 0})]
     relay = rows(stage_discrete(df, "relay"), "device_id", "discrete_data_json")
     assert set(json.loads(relay[0][1])) == {"2003", "communication_failure", "12a", "str1"}
 
 
+def test_discrete_values_keep_their_types(spark):
+    payload = {"timestamp": at(5), "2003": True, "2004": 0, "2005": "1@x", "2006": 1.5, "2007": "true", "2008": None, "communication_failure": "0"}
+    kept = json.loads(rows(stage_discrete(raw(spark, (5, 1, payload)), "inverter"), "discrete_data_json")[0][0])
+    assert kept == {k: v for k, v in payload.items() if k != "timestamp"}
+    assert type(kept["2003"]) is bool and type(kept["2004"]) is int and type(kept["2007"]) is str
+
+
 def test_string_currents(spark):
     df = raw(
         spark,

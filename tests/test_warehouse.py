@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from helioframe.functions.clock import Clock
+from helioframe.operators.staging import latest_string_currents
 from helioframe.operators.status import alarm_status, current_alarm_states
 from helioframe.plans.warehouse import Inputs, Limits, Warehouse
 from helioframe.sources import sinks
@@ -69,6 +70,7 @@ def test_incremental_runs_equal_a_full_refresh(spark, inputs, full, tmp_path):
         assert rows(warehouse.table(name)) == rows(full.table(name)), name
     mart = "mart_power_plants_overview"
     assert rows(warehouse.table(mart)) == rows(full.table(mart))
+    assert rows(warehouse.string_currents()) == rows(full.string_currents())
 
     before = {name: rows(warehouse.table(name)) for name in COMPARED}
     for kind in ("inverter", "meter"):
@@ -84,7 +86,8 @@ def test_views_and_maintenance(spark, inputs, full):
     full.register_views(data.clock())
     assert spark.table("int_power_plant_status").count() == 20
     assert spark.table("int_inverter_latest_readings").count() > 0
-    assert spark.table("stg_inverter_string_data").count() > 0
+    whole = latest_string_currents(full.inputs.raw["inverter"], full.inputs.devices, full.limits.valid_from)
+    assert rows(spark.table("stg_inverter_string_data")) == rows(whole) != []
 
     assert full.positions.read("settled_events") is not None
     assert rows(alarm_status(full.current_events())) == rows(alarm_status(full.table("int_events_alarms")))
