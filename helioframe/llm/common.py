@@ -63,6 +63,12 @@ def numbered_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
 
 
+def place_of(docs: DataFrame, name: str) -> int:
+    """The place of a column: the one of just this name, else the one that differs in case alone."""
+    exact = [i for i, c in enumerate(docs.columns) if c == name]
+    return (exact or [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()])[0]
+
+
 def free_name(docs: DataFrame, name: str) -> str:
     """The name, made longer until no column of the table has it, whatever the case."""
     taken = {c.lower() for c in docs.columns}

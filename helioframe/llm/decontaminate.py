@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import numbered_text, whole_text, written
+from helioframe.llm.common import numbered_text, place_of, whole_text, written
 from helioframe.llm.wordhash import mix, words
 
 #: Probability with which a match at the edit limit is found.
@@ -384,7 +384,7 @@ def hits(docs: DataFrame, items: Sequence[Items]) -> DataFrame:
 
 def _without_block(docs: DataFrame, items: Items) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(items)
-    at = docs.columns.index("text")
+    at = place_of(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

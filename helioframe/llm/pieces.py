@@ -3,20 +3,23 @@
 A text becomes words (runs of spaces belong to what follows; no piece of the vocabulary crosses the cut),
 and every word not met lately goes through merge rounds together with the other new words: the rank of
 each neighbouring pair, the least rank in each word, all its occurrences merged at once from the left, and
-compaction, until no pair is left. A merge whose product could start a better or equal pair is done one
-occurrence a round, so the order is the library's. Characters without a piece become byte pieces.
+compaction, until no pair is left. A word in which a merge's product could start a better or equal pair (as in
+a run of spaces, whose pieces all tie) has the merges of that round done in one scan from the left, so the order
+is the library's and a long run takes one round. Characters without a piece become byte pieces.
 
 Only the vocabulary is read from the model file; texts never pass through the library. The model has to be
 BPE with byte fallback, a leading dummy space and no other normalization, which ``Vocabulary`` checks.
 
 Defined results: a null or empty text has only the end id and decodes to an empty text; repeated rows are
-encoded each; whole texts are encoded, in groups of about ``GROUP`` characters; extra columns are not read.
+encoded each; whole texts are encoded, in groups of about ``GROUP`` characters, and a long run of
+spaces takes time in proportion to its length; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -98,6 +101,37 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.made[at], -1)
 
+    @cached_property
+    def _joins(self) -> dict[int, tuple[int, int]]:
+        """Rank and piece of each pair that makes one."""
+        return dict(zip(self.keys.tolist(), zip(self.rank[self.made].tolist(), self.made.tolist())))
+
+    def _scan(self, symbols: list[int], limit: int) -> tuple[list[int], list[int]]:
+        """One word after all its merges up to a rank, given that no pair is better: what is left, and where it begins.
+
+        Only a new piece can make a better pair, so going from the left, the best of its two pairs comes next.
+        """
+        joins, size, none = self._joins, self.size, (_NONE, -1)
+        out: list[int] = []
+        begins: list[int] = []
+        at = 0
+        while at < len(symbols):
+            top, begin = symbols[at], at
+            at += 1
+            while top >= 0:
+                left = joins.get(out[-1] * size + top, none) if out and out[-1] >= 0 else none
+                right = joins.get(top * size + symbols[at], none) if at < len(symbols) and symbols[at] >= 0 else none
+                if min(left[0], right[0]) > limit:
+                    break
+                if left[0] <= right[0]:
+                    top, begin = left[1], begins.pop()
+                    out.pop()
+                else:
+                    top, at = right[1], at + 1
+            out.append(top)
+            begins.append(begin)
+        return out, begins
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, all words going through the merge rounds together."""
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
@@ -121,19 +155,24 @@ class Vocabulary:
                 if not len(symbol):
                     break
             hit = np.flatnonzero(rank == np.repeat(least, sizes))
-            # Of touching pairs every other one, from the left; of pairs that must wait, the first of the word.
+            # Of touching pairs every other one, from the left.
             fresh = np.concatenate([[True], (np.diff(hit) > 1) | (segment[hit[1:]] != segment[hit[:-1]])])
             run = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-            first = np.concatenate([[True], segment[hit[1:]] != segment[hit[:-1]]])
-            # One pair that must wait makes all pairs of its word wait.
-            waits = np.zeros(int(segment[-1]) + 1, dtype=bool)
-            waits[segment[hit[~self.safe[made[hit]]]]] = True
-            hit = hit[first | (((np.arange(len(hit)) - run) % 2 == 0) & ~waits[segment[hit]])]
+            # A pair alone in its word never waits.
+            several = np.bincount(segment[hit])[segment[hit]] > 1
+            waiting = np.unique(segment[hit[several & ~self.safe[made[hit]]]])
+            hit = hit[~np.isin(segment[hit], waiting) & ((np.arange(len(hit)) - run) % 2 == 0)]
             symbol[hit] = made[hit]
             keep = np.ones(len(symbol), dtype=bool)
             keep[hit + 1] = False
             changed = np.zeros(len(symbol), dtype=bool)
             changed[hit] = True
+            for a, b in zip(np.searchsorted(segment, waiting), np.searchsorted(segment, waiting, side="right")):
+                left, begins = self._scan(symbol[a:b].tolist(), int(rank[a:b].min()))
+                keep[a:b] = False
+                keep[a + np.array(begins)] = True
+                symbol[a + np.array(begins)] = left
+                changed[a:b] = True
             symbol, place, segment, made, changed = (x[keep] for x in (symbol, place, segment, made, changed))
             changed[:-1] |= changed[1:]
             at = np.flatnonzero(changed)

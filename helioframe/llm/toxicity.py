@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.llm.common import numbered_text, whole_text
+from helioframe.llm.common import numbered_text, place_of, whole_text
 from helioframe.llm.wordhash import mix, owners, words
 
 BITS = 20
@@ -165,7 +165,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score under the threshold, with all their columns, in one pass without a shuffle."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    at = place_of(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = shipped.value.dense()

@@ -189,6 +189,41 @@ def test_toxicity_learns_rejects_and_keeps_odd_rows(spark, odd, empty):
     assert {r["score"] for r in toxicity.score_documents(odd, none).collect()} == {0.5}
 
 
+def plain_ftrl(examples, labels, alpha, beta, l1, l2, epochs):
+    """Feature by feature: z and n of each, the weight worked out when it is met."""
+    z, n, bias = Counter(), Counter(), [0.0, 0.0, 0.0]
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return ((l1 if z[i] > 0 else -l1) - z[i]) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for features, label in zip(examples, labels):
+            bias[2] = -bias[0] / ((beta + bias[1] ** 0.5) / alpha)
+            held = {int(i): weight(int(i)) for i in features}
+            error = 1 / (1 + np.exp(-(bias[2] + sum(held.values())))) - label
+            for i, w in held.items():
+                rate = ((n[i] + error**2) ** 0.5 - n[i] ** 0.5) / alpha
+                z[i] += error - rate * w
+                n[i] += error**2
+            rate = ((bias[1] + error**2) ** 0.5 - bias[1] ** 0.5) / alpha
+            bias[0] += error - rate * bias[2]
+            bias[1] += error**2
+    return {i: weight(i) for i in z if weight(i)}, bias[2]
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.7, 6.0])
+def test_ftrl_equals_a_plain_one(l1):
+    rng = random.Random(5)
+    examples = [np.unique([rng.randrange(60) for _ in range(rng.randrange(0, 12))]).astype(np.int64) for _ in range(150)]
+    labels = np.array([float(5 in e or rng.random() < 0.2) for e in examples])
+    model = toxicity.ftrl(examples, labels, 0.8, 1.0, l1, 0.1, 3)
+    weights, bias = plain_ftrl(examples, labels, 0.8, 1.0, l1, 0.1, 3)
+    assert model.features.tolist() == sorted(weights) and model.bias == pytest.approx(bias)
+    assert model.weights.tolist() == pytest.approx([weights[i] for i in sorted(weights)], rel=1e-5)
+
+
 def luhn(number: str) -> bool:
     digits = [int(c) for c in reversed(number)]
     return sum(sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(digits)) % 10 == 0
@@ -226,6 +261,36 @@ def test_permutation_is_one_to_one(spark):
     assert len(set(found)) == 1000 and all(0 <= x < 10 for f in found for x in f)
 
 
+def plain_feistel(values, radices, kind, key):
+    half = len(values) // 2
+    for turn in range(pseudonyms.ROUNDS):
+        left, right = values[:half], values[half:]
+        given = right if turn % 2 == 0 else left
+        said = "|".join([key, kind, ",".join(map(str, radices)), str(turn), ",".join(map(str, given))])
+        shift = [int(hashlib.sha256(f"{said}|{i}".encode()).hexdigest()[:12], 16) for i in range(len(values))]
+        added = [(v + s) % r for v, s, r in zip(values, shift, radices)]
+        values = added[:half] + right if turn % 2 == 0 else left + added[half:]
+    return values
+
+
+def test_permutation_equals_a_plain_feistel_network(spark):
+    rng = random.Random(8)
+    given = []
+    for n in [1, 2, 3, 4, 7, 15, 18] * 6:
+        radices = [rng.choice([1, 2, 10, 26, 256, 9999]) for _ in range(n)]
+        given.append(([rng.randrange(r) for r in radices], radices))
+    rows = spark.createDataFrame(given, "v array<bigint>, r array<bigint>")
+    found = rows.select("v", "r", pseudonyms.permute(F.col("v"), F.col("r"), "kind", "key").alias("new")).collect()
+    assert len(found) == len(given)
+    for row in found:
+        assert row["new"] == plain_feistel(row["v"], row["r"], "kind", "key")
+    ip, phone = "10.0.0.255", "(743) 555-3824"
+    made = pseudonyms.pseudonymize(table(spark, [f"{ip} {phone}"]), "key").first()["text"]
+    octets = plain_feistel([10, 0, 0, 255], [256] * 4, "ip", "key")
+    digits = "".join(map(str, plain_feistel([int(c) for c in phone if c.isdigit()], [10] * 10, "phone", "key")))
+    assert made == ".".join(map(str, octets)) + f" ({digits[:3]}) {digits[3:6]}-{digits[6:]}"
+
+
 def counts(text):
     words = re.findall(r"[^\W]+", (text or "").lower())
     return Counter(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))) if words else Counter()
@@ -349,6 +414,23 @@ def test_pieces_equal_the_library(spark, odd, empty):
     assert pieces.digests(pieces.decode(pieces.encode(empty, path), path)).count() == 0
 
 
+def test_long_runs_take_one_round():
+    import sentencepiece
+
+    path = queries.piece_model()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    vocab = pieces.vocabulary(path)
+    rng = random.Random(9)
+    texts = [" " * n for n in (41, 63, 64, 65, 1000, 4099)] + ["x" + " " * 333 + "y", "=" * 999, "\n" * 500, "▁ " * 300]
+    texts += ["".join(rng.choice([" " * rng.randrange(1, 40), "a", "the", "▁", "\t", "é", "=="]) for _ in range(60)) for _ in range(300)]
+    for text, ids in zip(texts, vocab.encode(texts)):
+        assert np.frombuffer(ids, dtype=np.int32).tolist() == library.encode(text)
+    started = time.time()
+    found = vocab.encode([" " * 100_000 + "end"])[0]
+    assert time.time() - started < 1
+    assert np.frombuffer(found, dtype=np.int32).tolist() == library.encode(" " * 100_000 + "end")
+
+
 def brute_lines(rows, sites):
     seen = {}
     for doc, text, site in rows:
@@ -505,3 +587,25 @@ def test_pipeline_stages_take_effect(spark, folder):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), folder).columns == docs.columns
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, folder):
+    """Null and repeated ids of unlike texts, null, empty and long texts, and columns named like helpers, through all stages."""
+    import sentencepiece
+
+    clean = [" ".join(prose(500 + k, 40)) for k in range(12)]
+    rows = [(None, t) for t in clean[:4]] + [(7, t) for t in clean[4:7]] + [(k + 20, t) for k, t in enumerate(clean[7:])]
+    rows += [(None, clean[0]), (7, clean[4]), (7, clean[4]), (40, None), (41, ""), (None, None)]
+    rows += [(42, "a b c d e " * 20_000), (43, " " * 50_000 + "end"), (44, "é漢😀 \t mixed")]
+    docs = table(spark, [t for _, t in rows], [i for i, _ in rows])
+    for name in ("score", "digest", "hash", "__key", "__gone", "__kept", "__removed", "bucket", "label", "ids"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(0, " ".join(prose(9, 30))), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    stage_input = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, stage_input, folder).columns == docs.columns
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    found = Counter(tuple(r["ids"]) for r in corpus_pipeline.run(spark, folder).collect())
+    assert found == Counter(tuple(library.encode(t) + [library.eos_id()]) for t in {t or "" for _, t in rows})
