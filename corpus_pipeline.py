@@ -23,24 +23,31 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that spread over many sources; n_chars follows the text."""
+    """All documents, without the lines that spread over many sources; n_chars follows the text.
+
+    A spread line stays in the document with the least id; null texts stay null and rows of null ids lose it too
+    (where every holder's id is null, all keep it). Repeated rows are cleaned alike.
+    """
     cleaned = lines.clean(docs, removed=free_name(docs, "__removed"))
     columns = [F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return cleaned.select(*columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each near-duplicate class."""
+    """The document with the least id of each near-duplicate class, null ids last; of equal ids that of the least text digest.
+
+    Rows equal in id and text are one document. Null and empty texts are one class.
+    """
     return neardup.one_of_each(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts stay, repeated rows fare alike, null items match nothing."""
     return decontaminate.reject_contaminated(docs, benchmark_items(spark, sf_dir))
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the token ids of its text with the end id, and their number."""
+    """doc_id, the token ids of its text with the end id, and their number; a null or empty text has the end id only."""
     return pieces.encode(docs, piece_model()).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
