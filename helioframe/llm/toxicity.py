@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +68,7 @@ def text_features(texts: pa.Array) -> list[np.ndarray]:
         number = np.concatenate([p[1] for p in parts])
         keys = np.unique((owner.astype(np.int64) << BITS) | number)
         cuts = np.searchsorted(keys, np.arange(last - first + 1, dtype=np.int64) << BITS)
-        number = keys & ((1 << BITS) - 1)
+        number = (keys & ((1 << BITS) - 1)).astype(np.int32)
         out.extend(number[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
     return out
 
@@ -128,21 +127,22 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     return texts.join(F.broadcast(chosen), "doc_id").orderBy("place", "doc_id", "text").limit(rows).select("text", "label")
 
 
-def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     examples: list[np.ndarray] = []
     labels: list[np.ndarray] = []
     for batch in batches:
-        examples.extend(text_features(pa.array(batch["text"], type=pa.large_string())))
-        labels.append(batch["label"].to_numpy(dtype=float))
+        examples.extend(text_features(batch.column(0)))
+        labels.append(batch.column(1).to_numpy(zero_copy_only=False).astype(float))
     if not examples:
         return
     model = ftrl(examples, np.concatenate(labels))
-    yield pd.DataFrame({"feature": np.append(model.features, -1), "weight": np.append(model.weights, model.bias).astype(float)})
+    feature, weight = np.append(model.features, -1), np.append(model.weights, model.bias).astype(float)
+    yield pa.record_batch([pa.array(feature, pa.int64()), pa.array(weight, pa.float64())], names=["feature", "weight"])
 
 
 def train(sample: DataFrame) -> Model:
     """The model of a bounded sample, learnt in one task; only its non-zero weights come to the driver."""
-    rows = sample.coalesce(1).mapInPandas(_train, "feature long, weight double").toPandas()
+    rows = sample.coalesce(1).mapInArrow(_train, "feature long, weight double").toPandas()
     rows = rows.sort_values("feature")
     bias = float(rows.loc[rows["feature"] < 0, "weight"].sum())
     kept = rows[rows["feature"] >= 0]
