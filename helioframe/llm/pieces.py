@@ -18,8 +18,9 @@ spaces takes time in proportion to its length; extra columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -76,6 +77,7 @@ class Vocabulary:
                             self.safe[part] = False
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.keys, self.made = np.array(keys, dtype=np.int64)[order], np.array(made, dtype=np.int32)[order]
+        self._sorted = array("q", self.keys.tobytes())
         self.bigrams = np.array(sorted(bigrams), dtype=np.int64)
         # Words may be cut before a space only where no piece has a space behind another character.
         crossing = any(a != SPACE and b == SPACE for p in ids for a, b in zip(p, p[1:]))
@@ -101,17 +103,20 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.made[at], -1)
 
-    @cached_property
-    def _joins(self) -> dict[int, tuple[int, int]]:
-        """Rank and piece of each pair that makes one."""
-        return dict(zip(self.keys.tolist(), zip(self.rank[self.made].tolist(), self.made.tolist())))
+    def _join(self, left: int, right: int) -> tuple[int, int]:
+        """Rank and piece that two symbols make; the piece is -1 if none."""
+        key = left * self.size + right
+        at = bisect_left(self._sorted, key) if left >= 0 and right >= 0 else len(self._sorted)
+        if at == len(self._sorted) or self._sorted[at] != key:
+            return _NONE, -1
+        made = int(self.made[at])
+        return int(self.rank[made]), made
 
     def _scan(self, symbols: list[int], limit: int) -> tuple[list[int], list[int]]:
         """One word after all its merges up to a rank, given that no pair is better: what is left, and where it begins.
 
         Only a new piece can make a better pair, so going from the left, the best of its two pairs comes next.
         """
-        joins, size, none = self._joins, self.size, (_NONE, -1)
         out: list[int] = []
         begins: list[int] = []
         at = 0
@@ -119,8 +124,8 @@ class Vocabulary:
             top, begin = symbols[at], at
             at += 1
             while top >= 0:
-                left = joins.get(out[-1] * size + top, none) if out and out[-1] >= 0 else none
-                right = joins.get(top * size + symbols[at], none) if at < len(symbols) and symbols[at] >= 0 else none
+                left = self._join(out[-1], top) if out else (_NONE, -1)
+                right = self._join(top, symbols[at]) if at < len(symbols) else (_NONE, -1)
                 if min(left[0], right[0]) > limit:
                     break
                 if left[0] <= right[0]:
