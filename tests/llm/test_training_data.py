@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import struct
@@ -398,6 +399,52 @@ def test_token_files_round_trip(spark, odd, empty, folder):
     assert tokenfile.digests(tokenfile.read_tokens(spark, f"{folder}/none")).count() == 0
 
 
+class _Asked:
+    """The library, with a count of the texts it is asked for."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.library.encode_batch_fast(texts, **more)
+
+
+def test_token_encoder_asks_for_new_words_together_and_for_known_ones_never():
+    known = tokenfile.Encoder(queries.byte_vocabulary())
+    library = known.library
+    known.library = asked = _Asked(library)
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abcdéefghij") for _ in range(rng.randrange(3, 12))) for _ in range(2000)})
+    assert len(words) > 1000
+    plain = "." + "".join(f" {w}" for w in words)
+    ended = "." + "".join(f" {w}{e}" for w, e in zip(words, itertools.cycle([",", ".", "!", "\n", "'s", "7"])))
+    for text, most in ((plain, 10), (ended, 20), (ended + plain[1:], 0)):
+        asked.texts = 0
+        assert known.encode(pa.array([text]), 0).to_pylist() == [library.encode(text, add_special_tokens=False).ids + [0]]
+        assert asked.texts <= most
+
+
+@pytest.mark.parametrize("case", ["usual", "small cache", "small blocks", "tokens of unknown size", "texts whole"])
+def test_token_encoder_equals_the_library(monkeypatch, case):
+    known = tokenfile.Encoder(queries.byte_vocabulary())
+    if case == "small cache":
+        monkeypatch.setattr(tokenfile, "CACHE_WORDS", 50)
+    if case == "small blocks":
+        monkeypatch.setattr(tokenfile, "JOINED", 30)
+    if case == "tokens of unknown size":
+        known.bytes[::2] = 0
+    known.cuts = case != "texts whole"
+    rng = random.Random(7)
+    signs = "ab e'sreth\n\r\t\0009é漢😀-_=#.,(  \x1c\x85\xa0\u2003\u2028\u200b\u3000çЖ×÷ªµ\u0300ǅʰ“”"
+    odd = ["", "a", "é", " ", "  ", "a ", " a", "\n\n a", "x" * 200 + "," + "é" * 200, "a <|endoftext|> b", " <|endoftext|>", "a  <|endoftext|>  b c"]
+    blocks = [[t] for t in odd] + [odd, ["", ""]]
+    blocks += [["".join(rng.choice(signs) for _ in range(rng.randrange(n))) for _ in range(200)] for n in (3, 10, 60, 60)]
+    for texts in blocks:
+        wanted = [known.library.encode(t, add_special_tokens=False).ids + [9] for t in texts]
+        assert known.encode(pa.array(["before", *texts, "after"]).slice(1, len(texts)), 9).to_pylist() == wanted
+
+
 def test_pieces_equal_the_library(spark, odd, empty):
     import sentencepiece
 
